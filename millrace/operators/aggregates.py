@@ -111,8 +111,8 @@ def collect_items(
     """The rows of each group as a sorted array: of values for one item column, else of structs.
 
     A group of up to ``max_items`` rows comes out as one row with ``part`` 0. A larger one comes out
-    as several rows, ``part`` 0, 1, ..., that together hold all its items, so no task and no row
-    ever has to hold a group of unbounded size. The largest group is measured first: if it is small
+    as several rows of about ``max_items`` items each, told apart by ``part``, that together hold all
+    its items, so no task and no row ever has to hold a group of unbounded size. The largest group is measured first: if it is small
     enough, one plain grouping does it.
     """
     rows = df.select(F.struct(*keys).alias("_key"), F.struct(*items).alias("_item"))

@@ -52,9 +52,8 @@ class Graph:
     def pagerank(self, reset: float = 0.15, rounds: int = 10) -> DataFrame:
         """Vertices with their ``pagerank`` after a fixed number of rounds; ranks sum to the number
         of vertices."""
-        degrees = self.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("_out"))
-        base = _kept(self.vertices.select("id").join(degrees, "id", "left"), "id")
         links = _Links(self, self.edges)
+        base = _kept(self.vertices.select("id").join(links.out_degrees(), "id", "left"), "id")
         state = base.withColumn("_rank", F.lit(1.0))
         for step in range(1, rounds + 1):
             sent = state.filter(F.col("_out").isNotNull()).select(
@@ -63,9 +62,7 @@ class Graph:
             shares = F.sum(F.col("_share") * F.col("_copies"))
             received = links.send(sent).groupBy("dst").agg(shares.alias("_sum"))
             rank = F.lit(reset) + F.lit(1 - reset) * F.coalesce("_sum", F.lit(0.0))
-            state = base.join(received, base["id"] == received["dst"], "left").select(
-                "id", "_out", rank.alias("_rank")
-            )
+            state = _update(base, received).select("id", "_out", rank.alias("_rank"))
             if step % CUT_EVERY == 0 or step == rounds:
                 state = materialize(state, "pagerank")
         links.release()
@@ -89,9 +86,8 @@ class Graph:
             votes = links.send(state).groupBy("dst", "label").agg(F.sum("_copies").alias("_votes"))
             best = F.min(F.struct((-F.col("_votes")).alias("_order"), "label")).alias("_best")
             won = votes.groupBy("dst").agg(best)
-            state = base.join(won, base["id"] == won["dst"], "left").select(
-                "id", F.coalesce("_best.label", "id").alias("label")
-            )
+            label = F.coalesce("_best.label", "id").alias("label")
+            state = _update(base, won).select("id", label)
             if step % CUT_EVERY == 0 or step == rounds:
                 state = materialize(state, "labels")
         links.release()
@@ -161,28 +157,40 @@ class _Links:
     """
 
     def __init__(self, graph: Graph, edges: DataFrame):
-        edges = edges.groupBy("src", "dst").agg(F.count("*").alias("_copies"))
-        self.slots = Slots(edges, ["src"], graph.rows_per_slot, graph.max_hot)
+        counted = edges.groupBy("src", "dst").agg(F.count("*").alias("_copies"))
+        self.table = materialize(counted, "links")
+        self.slots = Slots(self.table, ["src"], graph.rows_per_slot, graph.max_hot)
+        self.keys = ["src", "_slot"] if self.slots else ["src"]
+        spread = self.table
         if self.slots:
-            edges = self.slots.scatter(edges, ["src"], [F.col("dst")])
-        self.edges = _kept(edges, "src", *(["_slot"] if self.slots else []))
+            spread = self.slots.scatter(spread, ["src"], [F.col("dst")])
+        self.edges = _kept(spread, *self.keys)
+
+    def out_degrees(self) -> DataFrame:
+        return self.table.groupBy(F.col("src").alias("id")).agg(F.sum("_copies").alias("_out"))
 
     def send(self, state: DataFrame) -> DataFrame:
         """State of every source, once per edge, next to the edge's ``dst``."""
         state = state.withColumnRenamed("id", "src")
-        if not self.slots:
-            return self.edges.join(state, "src")
-        renamed = self.slots.replicate(state, ["src"])
-        return self.edges.join(renamed, ["src", "_slot"])
+        if self.slots:
+            state = self.slots.replicate(state, ["src"])
+        return self.edges.hint("merge").join(state, self.keys)
 
     def release(self) -> None:
         self.edges.unpersist()
 
 
+def _update(base: DataFrame, received: DataFrame) -> DataFrame:
+    """Base rows with what they received; both sides are partitioned by vertex already."""
+    return base.hint("merge").join(received, base["id"] == received["dst"], "left")
+
+
 def _kept(df: DataFrame, *columns: str) -> DataFrame:
-    """Partitioned by ``columns`` and kept, on disk where memory ends; a lost block is recomputed."""
+    """Partitioned and sorted by ``columns`` and kept, on disk where memory ends, so that a merge
+    join reads it as it is; a lost block is recomputed."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(partitions, *columns).persist(StorageLevel.MEMORY_AND_DISK)
+    laid_out = df.repartition(partitions, *columns).sortWithinPartitions(*columns)
+    return laid_out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def unique_nodes(df: DataFrame, key: str) -> DataFrame:

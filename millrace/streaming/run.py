@@ -91,5 +91,6 @@ def finish(query: StreamingQuery, timeout: int = 12 * HOURS) -> StreamingQuery:
 
 
 def finish_any(spark: SparkSession, timeout: int = 12 * HOURS) -> bool:
-    """Wait until one of the session's queries ends; False when none did in time."""
+    """Wait until one of the session's queries ends; False when none did in time. A query that ended
+    earlier counts until ``spark.streams.resetTerminated``."""
     return bool(spark.streams.awaitAnyTermination(timeout))
