@@ -18,6 +18,16 @@ def bucket(rules: list[tuple[Column, str]], default: str | None = None) -> Colum
     return labelled if default is None else labelled.otherwise(F.lit(default))
 
 
+def in_bucket(rules: list[tuple[Column, str]], label: str) -> Column:
+    """Whether ``bucket`` gives this label. Unlike a comparison of the label, the condition of the
+    rule itself reaches the scan."""
+    position = [name for _, name in rules].index(label)
+    holds = rules[position][0]
+    for condition, _ in rules[:position]:
+        holds = holds & ~F.coalesce(condition, F.lit(False))
+    return holds
+
+
 def exact_sum(column: Column, scale: int = 2) -> Column:
     """Sum in fixed point, returned as double.
 

@@ -133,7 +133,7 @@ def _collect_parts(rows: DataFrame, max_items: int, rows_per_slot: int, max_hot:
     # are structs, so that NULL fields compare as equal.
     runs = rows.groupBy("_key", "_item").agg(F.count("*").alias("_n"))
     totals = runs.groupBy("_key").agg(F.sum("_n").alias("_total"))
-    sized = split_join(runs, totals, ["_key"], ["_item"], "inner", rows_per_slot, max_hot)
+    sized = split_join(runs, totals, ["_key"], ["_item"], rows_per_slot=rows_per_slot, max_hot=max_hot)
     last_piece = F.ceil(F.col("_n") / max_items) - 1
     pieces = sized.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)))
     copies = F.least(F.lit(max_items), F.col("_n") - F.col("_piece") * max_items).cast("int")

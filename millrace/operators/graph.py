@@ -1,8 +1,9 @@
 """Property graphs as two tables, and iterative joins over them.
 
-Vertex state is kept partitioned by ``id`` and edges by their source, so a round shuffles only the
-messages, which are combined per target before they leave the map task. Edges of a hub vertex are
-divided over slots, each of which gets a copy of the hub's state.
+Edges stay partitioned and sorted by their source, so a round shuffles only vertex state and messages,
+and messages are combined per target before they leave the map task. Edges of a hub vertex are
+divided over slots, each of which gets a copy of the hub's state. Every round ends as a table in the
+shared folder: plans stay short, and a lost executor costs one round at most.
 """
 
 from __future__ import annotations
@@ -14,9 +15,6 @@ from pyspark.sql import functions as F
 from millrace.operators.skew import MAX_HOT, ROWS_PER_SLOT, Slots, split_join
 from millrace.scratch import materialize
 
-# Rounds between two tables that cut lineage.
-CUT_EVERY = 5
-
 
 class Graph:
     """Vertices with an ``id`` and edges with ``src`` and ``dst``; other columns ride along."""
@@ -34,8 +32,7 @@ class Graph:
                 raise ValueError(f"graph table lacks {missing}")
         self.vertices = vertices
         self.edges = edges
-        self.rows_per_slot = rows_per_slot
-        self.max_hot = max_hot
+        self.skew = {"rows_per_slot": rows_per_slot, "max_hot": max_hot}
 
     def in_degrees(self) -> DataFrame:
         """Incoming edges of every vertex that has any, with the vertex attributes."""
@@ -55,7 +52,7 @@ class Graph:
         links = _Links(self, self.edges)
         base = _kept(self.vertices.select("id").join(links.out_degrees(), "id", "left"), "id")
         state = base.withColumn("_rank", F.lit(1.0))
-        for step in range(1, rounds + 1):
+        for _ in range(rounds):
             sent = state.filter(F.col("_out").isNotNull()).select(
                 "id", (F.col("_rank") / F.col("_out")).alias("_share")
             )
@@ -63,8 +60,7 @@ class Graph:
             received = links.send(sent).groupBy("dst").agg(shares.alias("_sum"))
             rank = F.lit(reset) + F.lit(1 - reset) * F.coalesce("_sum", F.lit(0.0))
             state = _update(base, received).select("id", "_out", rank.alias("_rank"))
-            if step % CUT_EVERY == 0 or step == rounds:
-                state = materialize(state, "pagerank")
+            state = materialize(state, "pagerank")
         links.release()
         base.unpersist()
         total, vertices = state.agg(F.sum("_rank"), F.count("*")).first()
@@ -82,14 +78,12 @@ class Graph:
         base = _kept(self.vertices.select("id"), "id")
         links = _Links(self, both_ways)
         state = base.withColumn("label", F.col("id"))
-        for step in range(1, rounds + 1):
+        for _ in range(rounds):
             votes = links.send(state).groupBy("dst", "label").agg(F.sum("_copies").alias("_votes"))
             best = F.min(F.struct((-F.col("_votes")).alias("_order"), "label")).alias("_best")
             won = votes.groupBy("dst").agg(best)
             label = F.coalesce("_best.label", "id").alias("label")
-            state = _update(base, won).select("id", label)
-            if step % CUT_EVERY == 0 or step == rounds:
-                state = materialize(state, "labels")
+            state = materialize(_update(base, won).select("id", label), "labels")
         links.release()
         base.unpersist()
         return self.vertices.join(state, "id")
@@ -111,8 +105,8 @@ class Graph:
         degrees = materialize(ends.groupBy("id").agg(F.count("*").alias("_degree")), "degrees")
         first = degrees.select(F.col("id").alias("a"), F.col("_degree").alias("_da"))
         second = degrees.select(F.col("id").alias("b"), F.col("_degree").alias("_db"))
-        ranked = split_join(pairs, first, ["a"], ["b"], "inner", self.rows_per_slot, self.max_hot)
-        ranked = split_join(ranked, second, ["b"], ["a"], "inner", self.rows_per_slot, self.max_hot)
+        ranked = split_join(pairs, first, ["a"], ["b"], **self.skew)
+        ranked = split_join(ranked, second, ["b"], ["a"], **self.skew)
         one = F.struct(F.col("_da").alias("degree"), F.col("a").alias("id"))
         other = F.struct(F.col("_db").alias("degree"), F.col("b").alias("id"))
         oriented = ranked.select(
@@ -130,7 +124,7 @@ class Graph:
             .filter(F.size("_rest") > 0)
         )
         targets = lists.select(F.col("low").alias("high"), F.col("_list").alias("_far"))
-        met = split_join(edges, targets, ["high"], ["low"], "inner", self.rows_per_slot, self.max_hot)
+        met = split_join(edges, targets, ["high"], ["low"], **self.skew)
         closed = met.select(
             "low", "high", F.array_intersect("_rest", "_far").alias("_third")
         ).filter(F.size("_third") > 0)
@@ -159,7 +153,7 @@ class _Links:
     def __init__(self, graph: Graph, edges: DataFrame):
         counted = edges.groupBy("src", "dst").agg(F.count("*").alias("_copies"))
         self.table = materialize(counted, "links")
-        self.slots = Slots(self.table, ["src"], graph.rows_per_slot, graph.max_hot)
+        self.slots = Slots(self.table, ["src"], **graph.skew)
         self.keys = ["src", "_slot"] if self.slots else ["src"]
         spread = self.table
         if self.slots:
@@ -212,7 +206,6 @@ def matched_relationships(
     """Edges whose two endpoints both exist as nodes."""
     sources = nodes.select(F.col(key).alias("src")).distinct()
     targets = nodes.select(F.col(key).alias("dst")).distinct()
-    kept = split_join(edges, sources, ["src"], ["dst"], "left_semi", rows_per_slot, max_hot)
-    return split_join(kept, targets, ["dst"], ["src"], "left_semi", rows_per_slot, max_hot).select(
-        *edges.columns
-    )
+    skew = {"rows_per_slot": rows_per_slot, "max_hot": max_hot}
+    kept = split_join(edges, sources, ["src"], ["dst"], "left_semi", **skew)
+    return split_join(kept, targets, ["dst"], ["src"], "left_semi", **skew).select(*edges.columns)

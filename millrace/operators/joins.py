@@ -2,25 +2,50 @@
 
 Catalyst broadcasts a side whose statistics are under ``spark.sql.autoBroadcastJoinThreshold``,
 adaptive execution does so for a side whose measured shuffle is, and every other side goes through a
-sort-merge join whose skewed partitions adaptive execution splits.
+sort-merge join whose skewed partitions adaptive execution splits. What it cannot split is the side
+that an outer join may leave out: an order with a third of all lines, in orders left join lines. For
+that, name the columns that tell such rows apart as ``spread``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.documents import json_key, json_text
+from millrace.functions.documents import json_text
+from millrace.operators.skew import split_join
 
 
-def join_using(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
-    """Join on shared names: the key comes out once, from the side that is kept whole."""
-    return left.join(right, on=on, how=how)
+def join_using(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | list[str],
+    how: str = "inner",
+    spread: list[str] | None = None,
+    **skew,
+) -> DataFrame:
+    """Join on shared names: the key comes out once, from the side that is kept whole. With
+    ``spread``, the right side may have hot keys."""
+    if spread is None:
+        return left.join(right, on=on, how=how)
+    keys = [on] if isinstance(on, str) else on
+    return split_join(left, right, keys, spread, how, "right", **skew)
 
 
-def join_on(left: DataFrame, right: DataFrame, condition: Column, how: str = "inner") -> DataFrame:
-    """Join by expression: both keys come out. Give them different names first."""
-    return left.join(right, condition, how)
+def join_on(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    how: str = "inner",
+    spread: list[str] | None = None,
+    **skew,
+) -> DataFrame:
+    """Join on keys of different names: both come out. With ``spread``, the right side may have hot
+    keys."""
+    if spread is None:
+        return left.join(right, F.col(left_key) == F.col(right_key), how)
+    return split_join(left, right, [left_key], spread, how, "right", [right_key], **skew)
 
 
 def star_join(
@@ -32,12 +57,12 @@ def star_join(
     """Fact rows with one name from each dimension, all kept in JSON text.
 
     ``dimensions`` holds ``(table, key column, JSON column, JSON field)``; the fact's JSON has a
-    field named like each key column. Keys are read as numbers on both sides.
+    field named like each key column, all taken out in one parse. Keys are read as numbers on both
+    sides; text that is none joins with nothing.
     """
     keys = [key for _, key, _, _ in dimensions]
-    result = fact.select(
-        *fact_columns, *[json_key(F.col(fact_json), f"$.{key}").alias(key) for key in keys]
-    )
+    texts = fact.select(*fact_columns, F.json_tuple(fact_json, *keys).alias(*keys))
+    result = texts.select(*fact_columns, *[F.col(key).try_cast("bigint").alias(key) for key in keys])
     for dimension, key, json_column, field in dimensions:
         names = dimension.select(
             F.col(key).cast("bigint").alias(key),

@@ -1,7 +1,8 @@
 """Hot keys: find them, and split them before a shuffle would put each into one task.
 
-Plain joins need none of this, since adaptive execution splits skewed join partitions by itself. It
-cannot when rows stay partitioned by the join key for a later grouping, or when joined rows are kept
+Plain joins of a large table to a smaller one need none of this, since adaptive execution splits
+skewed join partitions by itself. It cannot when the hot rows are on the side an outer join may
+leave out, when rows stay partitioned by the join key for a later grouping, or when they are kept
 partitioned for reuse, as in graph rounds. Those jobs use ``split_join`` or ``Slots``.
 """
 
@@ -9,18 +10,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_SLOT = 1_000_000
 MAX_HOT = 10_000
 
+# Frequent items are counted per shard of the keys, so that many tasks merge the counts.
+SHARDS = 64
+TRACKED = 256
+NULL_SLOTS = 1024
+
+
+def _identity(df: DataFrame, keys: list[str]) -> Column:
+    """A single plain key itself; JSON text of several keys or a nested one."""
+    if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.AtomicType):
+        return F.col(keys[0])
+    return F.to_json(F.struct(*keys))
+
 
 class Slots:
-    """Number of slots for each hot key of ``df``.
+    """Number of slots for each hot key of ``df``, a key with more than ``rows_per_slot`` rows.
 
-    Only the ``max_hot`` most frequent keys can be hot, so the table that is broadcast has a fixed
-    upper size, and any key with more than 1/``max_hot`` of all rows is among them. Counting
-    combines on the map side, reads the key columns only, and brings at most ``max_hot`` keys to the
-    driver.
+    The frequent-items aggregate finds them: a fixed number of counters per task and shard, with no
+    shuffle of rows or keys. At most ``max_hot`` keys reach the driver, which bounds the table that
+    is broadcast. Finding a key is a matter of speed only: one that is missed is joined unsplit.
     """
 
     def __init__(
@@ -30,38 +43,43 @@ class Slots:
         rows_per_slot: int = ROWS_PER_SLOT,
         max_hot: int = MAX_HOT,
     ):
-        top = df.groupBy(*keys).count().orderBy(F.desc("count")).limit(max_hot)
-        hot = top.filter(F.col("count") > rows_per_slot).select(
-            *keys, F.ceil(F.col("count") / rows_per_slot).cast("int").alias("_slots")
+        items = df.select(_identity(df, keys).alias("_hot_key")).filter(F.col("_hot_key").isNotNull())
+        counters = F.expr(f"approx_top_k(_hot_key, {TRACKED}, {TRACKED})").alias("_top")
+        shard = F.pmod(F.xxhash64("_hot_key"), F.lit(SHARDS))
+        frequent = items.groupBy(shard).agg(counters).select(F.inline("_top"))
+        hot = (
+            frequent.filter(F.col("count") > rows_per_slot)
+            .select("item", F.ceil(F.col("count") / rows_per_slot).cast("int").alias("_slots"))
+            .orderBy(F.desc("_slots"), "item")
+            .limit(max_hot)
         )
         rows = hot.collect()
-        self.keys = keys
         self.table = df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
 
     def __bool__(self) -> bool:
         return self.table is not None
 
-    def _attach(self, df: DataFrame, columns: list[str]) -> DataFrame:
-        renamed = self.table.select(
-            *[F.col(k).alias(f"_hot_{k}") for k in self.keys], F.col("_slots")
-        )
-        match = [df[c].eqNullSafe(renamed[f"_hot_{k}"]) for c, k in zip(columns, self.keys)]
-        joined = df.join(F.broadcast(renamed), match, "left")
-        return joined.drop(*[f"_hot_{k}" for k in self.keys])
-
-    def scatter(self, df: DataFrame, columns: list[str], spread: list[Column]) -> DataFrame:
-        """Give every row a ``_slot``; rows of a hot key get theirs from a hash of ``spread``."""
-        slot = F.pmod(F.xxhash64(*spread), F.coalesce(F.col("_slots"), F.lit(1))).cast("int")
-        return self._attach(df, columns).withColumn("_slot", slot).drop("_slots")
-
-    def replicate(self, df: DataFrame, columns: list[str]) -> DataFrame:
-        """Repeat the rows of a hot key once per slot."""
-        last = F.coalesce(F.col("_slots"), F.lit(1)) - 1
-        return (
-            self._attach(df, columns)
-            .withColumn("_slot", F.explode(F.sequence(F.lit(0), last)))
-            .drop("_slots")
-        )
+    def _attach(self, df: DataFrame, keys: list[str]) -> DataFrame:
+        """Rows with the ``_slots`` of their key, NULL unless it is hot."""
+        marked = df.withColumn("_hot_key", _identity(df, keys))
+        hot = F.broadcast(self.table.withColumnRenamed("item", "_hot_key"))
+        return marked.join(hot, "_hot_key", "left")
+
+    def scatter(self, df: DataFrame, keys: list[str], spread: list[Column]) -> DataFrame:
+        """Give every row a ``_slot``; rows of a hot key get theirs from a hash of ``spread``.
+
+        Rows without a key have no partner in any slot and are spread as well.
+        """
+        slots = F.when(F.col("_hot_key").isNull(), NULL_SLOTS).otherwise(F.coalesce("_slots", F.lit(1)))
+        slot = F.pmod(F.xxhash64(*spread), slots).cast("int").alias("_slot")
+        return self._attach(df, keys).select(*df.columns, slot)
+
+    def replicate(self, df: DataFrame, keys: list[str], flag: str | None = None) -> DataFrame:
+        """Repeat the rows of a hot key once per slot; ``flag`` names a column that marks them."""
+        last = F.coalesce("_slots", F.lit(1)) - 1
+        flags = [] if flag is None else [F.col("_slots").isNotNull().alias(flag)]
+        slot = F.explode(F.sequence(F.lit(0), last)).alias("_slot")
+        return self._attach(df, keys).select(*df.columns, *flags, slot)
 
 
 def split_join(
@@ -70,20 +88,47 @@ def split_join(
     keys: list[str],
     spread: list[str],
     how: str = "inner",
+    hot_side: str = "left",
+    right_keys: list[str] | None = None,
+    *,
     rows_per_slot: int = ROWS_PER_SLOT,
     max_hot: int = MAX_HOT,
 ) -> DataFrame:
-    """Join on shared key names where ``left`` may have hot keys and ``right`` has few rows per key.
+    """Join where one side has hot keys and the other few rows per key.
 
-    Rows of a hot key are divided by a hash of ``spread``, columns that tell the rows of one key
-    apart; the right rows of that key are repeated in each slot. ``how`` is inner, left or
-    left_semi, all of which keep every left row's own partners.
+    Hot rows are divided by a hash of ``spread``, columns that tell the rows of one key apart; their
+    partners are repeated in each slot. ``how`` is inner, left, right or, with the hot rows on the
+    left, left_semi. Without ``right_keys`` the keys have the same names on both sides and come out
+    once; with it, both come out.
     """
-    if how not in ("inner", "left", "left_semi"):
-        raise ValueError(f"cannot split a {how} join")
-    slots = Slots(left, keys, rows_per_slot, max_hot)
+    if how not in ("inner", "left", "right") and (how, hot_side) != ("left_semi", "left"):
+        raise ValueError(f"cannot split a {how} join with the hot rows on the {hot_side}")
+    hot_rows, hot_keys = (left, keys) if hot_side == "left" else (right, right_keys or keys)
+    slots = Slots(hot_rows, hot_keys, rows_per_slot, max_hot)
     if not slots:
-        return left.join(right, keys, how)
-    scattered = slots.scatter(left, keys, [F.col(c) for c in spread])
-    repeated = slots.replicate(right, keys)
-    return scattered.join(repeated, [*keys, "_slot"], how).drop("_slot")
+        return left.join(right, _condition(keys, right_keys), how)
+    spread_columns = [F.col(c) for c in spread]
+    # A repeated row that is kept without a partner would appear in each slot that happens to hold
+    # none. A hot key has partners in some slot, so those rows are dropped again.
+    repeated_kept = (how, hot_side) in (("left", "right"), ("right", "left"))
+    scattered = slots.scatter(hot_rows, hot_keys, spread_columns)
+    other, other_keys = (right, right_keys or keys) if hot_side == "left" else (left, keys)
+    repeated = slots.replicate(other, other_keys, "_hot" if repeated_kept else None)
+    if repeated_kept:
+        scattered = scattered.withColumn("_met", F.lit(True))
+    first, second = (scattered, repeated) if hot_side == "left" else (repeated, scattered)
+    if right_keys:
+        second = second.withColumnRenamed("_slot", "_slot2")
+        on = _condition([*keys, "_slot"], [*right_keys, "_slot2"])
+    else:
+        on = [*keys, "_slot"]
+    joined = first.join(second, on, how)
+    if repeated_kept:
+        joined = joined.filter(~F.col("_hot") | F.col("_met").isNotNull())
+    return joined.drop("_slot", "_slot2", "_hot", "_met")
+
+
+def _condition(keys: list[str], right_keys: list[str] | None):
+    if right_keys is None:
+        return keys
+    return [F.col(a) == F.col(b) for a, b in zip(keys, right_keys)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import bucket
+from millrace.functions.numbers import bucket, in_bucket
 from millrace.operators import quality, ranking
 from millrace.plans.registry import query
 from millrace.schema import conform, declare_schema
@@ -112,17 +112,15 @@ def case_two_way(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def sla_bucket_late(spark: SparkSession, sf: str) -> DataFrame:
     minutes = F.col("l_quantity")
-    sla = bucket(
-        [
-            (minutes <= 15, "FAST"),
-            ((minutes > 15) & (minutes <= 20), "ON_TIME"),
-            (minutes > 20, "LATE"),
-        ]
-    )
+    rules = [
+        (minutes <= 15, "FAST"),
+        ((minutes > 15) & (minutes <= 20), "ON_TIME"),
+        (minutes > 20, "LATE"),
+    ]
     late = (
         table(spark, sf, "lineitem")
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", sla.alias("delivery_sla"))
-        .filter(F.col("delivery_sla") == "LATE")
+        .filter(in_bucket(rules, "LATE"))
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", bucket(rules).alias("delivery_sla"))
     )
     return ranking.sort_rows(
         late, [F.desc("l_quantity")], ["l_orderkey", "l_linenumber", "l_partkey"]

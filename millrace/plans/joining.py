@@ -10,6 +10,10 @@ from millrace.plans.registry import query
 from millrace.tables import table
 
 
+# Columns that tell the lines of one order apart.
+LINE_SPREAD = ["l_partkey", "l_linenumber"]
+
+
 def _orders(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("orderkey"), F.col("o_custkey").alias("custkey"), "o_orderstatus"
@@ -45,7 +49,7 @@ def join_inner(spark: SparkSession, sf: str) -> DataFrame:
 def join_left_expr(spark: SparkSession, sf: str) -> DataFrame:
     orders = _orders(spark, sf).select("orderkey")
     lines = _lines(spark, sf).withColumnRenamed("orderkey", "l_orderkey")
-    return joins.join_on(orders, lines, F.col("orderkey") == F.col("l_orderkey"), "left")
+    return joins.join_on(orders, lines, "orderkey", "l_orderkey", "left", LINE_SPREAD)
 
 
 @query("""
@@ -53,7 +57,7 @@ def join_left_expr(spark: SparkSession, sf: str) -> DataFrame:
     FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
 """)
 def join_left_using(spark: SparkSession, sf: str) -> DataFrame:
-    return joins.join_using(_orders(spark, sf), _lines(spark, sf), "orderkey", "left")
+    return joins.join_using(_orders(spark, sf), _lines(spark, sf), "orderkey", "left", LINE_SPREAD)
 
 
 @query("""
@@ -64,7 +68,7 @@ def join_left_using(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def join_right_expr(spark: SparkSession, sf: str) -> DataFrame:
     orders = _late_orders(spark, sf).withColumnRenamed("orderkey", "o_orderkey")
-    return joins.join_on(orders, _lines(spark, sf), F.col("o_orderkey") == F.col("orderkey"), "right")
+    return joins.join_on(orders, _lines(spark, sf), "o_orderkey", "orderkey", "right")
 
 
 @query("""

@@ -10,7 +10,7 @@ from millrace.plans.graphs import part_edges
 from millrace.plans.joining import RENTALS, rentals
 from millrace.plans.registry import query
 from millrace.schema import declare_schema
-from millrace.scratch import scratch_path
+from millrace.scratch import materialize, scratch_path
 from millrace.sinks.files import write_csv, write_partitioned
 from millrace.sinks.stores import write_documents, write_nodes, write_relationships
 from millrace.sources.files import read_csv
@@ -114,6 +114,7 @@ def graph_relationships(spark: SparkSession, sf: str) -> DataFrame:
     """Part successions between parts of size 20 and up, the only ones that exist as nodes."""
     nodes = table(spark, sf, "part").filter("p_size >= 20").select(F.col("p_partkey").alias("id"))
     edges = part_edges(spark, sf).withColumn("relationship", F.lit("followed_by"))
+    edges = materialize(edges, "edges")
     path = scratch_path(spark, "relationships")
     write_relationships(edges, nodes, {"path": path}, fmt="parquet")
     return spark.read.parquet(path)

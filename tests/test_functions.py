@@ -75,6 +75,14 @@ def test_buckets_with_and_without_default(spark):
     assert out == [("FAST", "LOW"), ("ON_TIME", "MEDIUM"), ("LATE", "HIGH"), (None, "HIGH")]
 
 
+def test_bucket_membership_equals_the_label(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(30)] + [(None,)], "m double")
+    m = F.col("m")
+    rules = [(m <= 15, "FAST"), (m <= 20, "ON_TIME"), (m > 10, "LATE")]
+    for _, label in rules:
+        assert rows(df.filter(numbers.in_bucket(rules, label))) == rows(df.filter(numbers.bucket(rules) == label))
+
+
 def test_age_bands(spark):
     age = F.col("age")
     df = spark.createDataFrame([(24,), (25,), (26,), (43,), (44,), (45,)], "age int")

@@ -33,9 +33,9 @@ def test_joins_on_a_shared_name(books, writers):
 
 def test_join_by_expression_keeps_both_keys(books, writers):
     renamed = writers.withColumnRenamed("writer_id", "w_id")
-    left = joins.join_on(books, renamed, F.col("writer_id") == F.col("w_id"), "left")
+    left = joins.join_on(books, renamed, "writer_id", "w_id", "left")
     assert left.columns == ["writer_id", "title", "pages", "w_id", "name"] and left.count() == 4
-    right = joins.join_on(books, renamed, F.col("writer_id") == F.col("w_id"), "right")
+    right = joins.join_on(books, renamed, "writer_id", "w_id", "right")
     assert (None, None, None, 4, "James") in rows(right)
 
 
@@ -154,25 +154,55 @@ def test_documents_of_a_hot_owner_are_divided(spark):
     assert [(r["part"], r["items"]) for r in out if r["k"] == 999] == [(0, None)]
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-@pytest.mark.parametrize("rows_per_slot", [4, 1000])
-def test_split_join_equals_plain_join(spark, how, rows_per_slot):
+def _hot_sides(spark):
+    """Detail rows with a hot key, copies and NULLs; names with some keys more and some fewer."""
     rng = random.Random(11)
-    data = [(0 if rng.random() < 0.4 else rng.choice([None, *range(1, 30)]), i) for i in range(400)]
-    left = spark.createDataFrame(data, "k int, item int")
-    right = spark.createDataFrame([(k, f"n{k}") for k in range(0, 25)] + [(None, "none")], "k int, name string")
-    split = split_join(left, right, ["k"], ["item"], how, rows_per_slot=rows_per_slot)
-    assert rows(split) == rows(left.join(right, ["k"], how))
+    data = [(0 if rng.random() < 0.4 else rng.choice([None, *range(1, 30)]), i // 2) for i in range(400)]
+    details = spark.createDataFrame(data, "k int, item int")
+    names = [(k, f"n{k}") for k in range(0, 35) if k != 7] + [(None, "none"), (0, "twice")]
+    return details, spark.createDataFrame(names, "k int, name string")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "left_semi"])
+@pytest.mark.parametrize("rows_per_slot", [3, 40, 1000])
+def test_split_join_equals_plain_join(spark, how, rows_per_slot):
+    details, names = _hot_sides(spark)
+    split = split_join(details, names, ["k"], ["item"], how, rows_per_slot=rows_per_slot)
+    plain = details.join(names, ["k"], how)
+    assert split.columns == plain.columns and rows(split) == rows(plain)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right"])
+@pytest.mark.parametrize("rows_per_slot", [3, 40])
+def test_hot_rows_on_the_right(spark, how, rows_per_slot):
+    details, names = _hot_sides(spark)
+    split = joins.join_using(names, details, "k", how, ["item"], rows_per_slot=rows_per_slot)
+    plain = joins.join_using(names, details, "k", how)
+    assert split.columns == plain.columns and rows(split) == rows(plain)
+    renamed = details.withColumnRenamed("k", "k2")
+    split = joins.join_on(names, renamed, "k", "k2", how, ["item"], rows_per_slot=rows_per_slot)
+    plain = joins.join_on(names, renamed, "k", "k2", how)
+    assert split.columns == plain.columns and rows(split) == rows(plain)
+
+
+def test_split_join_on_two_keys(spark):
+    data = [(i % 2, "x" if i % 3 else "y", i) for i in range(120)]
+    left = spark.createDataFrame(data, ["a", "b", "item"])
+    right = spark.createDataFrame([(0, "x", "p"), (1, "y", "q")], ["a", "b", "v"])
+    split = split_join(left, right, ["a", "b"], ["item"], "left", rows_per_slot=5)
+    assert rows(split) == rows(left.join(right, ["a", "b"], "left"))
 
 
 def test_split_join_spreads_the_hot_key(spark):
     left = spark.range(1000).selectExpr("IF(id < 400, 0, id) AS k", "id AS item")
     slots = Slots(left, ["k"], rows_per_slot=50)
-    assert slots.table.collect() == [(0, 8)]
+    assert [tuple(r) for r in slots.table.collect()] == [(0, 8)]
     scattered = slots.scatter(left, ["k"], [F.col("item")]).filter("k = 0")
     assert scattered.select("_slot").distinct().count() == 8
     with pytest.raises(ValueError):
-        split_join(left, left, ["k"], ["item"], "right")
+        split_join(left, left, ["k"], ["item"], "full")
+    with pytest.raises(ValueError):
+        split_join(left, left, ["k"], ["item"], "left_semi", "right")
 
 
 def test_only_the_most_frequent_keys_can_be_hot(spark):
