@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numbers import exact_avg, rounded_avg
 from millrace.operators.skew import MAX_HOT, ROWS_PER_SLOT, split_join
+from millrace.scratch import materialize
 
 MAX_ITEMS = 100_000
 
@@ -131,7 +132,7 @@ def collect_items(
 def _collect_parts(rows: DataFrame, max_items: int, rows_per_slot: int, max_hot: int) -> DataFrame:
     # Copies of one item become one row with a number, then pieces of bounded length. Keys and items
     # are structs, so that NULL fields compare as equal.
-    runs = rows.groupBy("_key", "_item").agg(F.count("*").alias("_n"))
+    runs = materialize(rows.groupBy("_key", "_item").agg(F.count("*").alias("_n")), "runs")
     totals = runs.groupBy("_key").agg(F.sum("_n").alias("_total"))
     sized = split_join(runs, totals, ["_key"], ["_item"], rows_per_slot=rows_per_slot, max_hot=max_hot)
     last_piece = F.ceil(F.col("_n") / max_items) - 1

@@ -106,7 +106,8 @@ class Graph:
         first = degrees.select(F.col("id").alias("a"), F.col("_degree").alias("_da"))
         second = degrees.select(F.col("id").alias("b"), F.col("_degree").alias("_db"))
         ranked = split_join(pairs, first, ["a"], ["b"], **self.skew)
-        ranked = split_join(ranked, second, ["b"], ["a"], **self.skew)
+        slots = Slots(pairs, ["b"], **self.skew)
+        ranked = split_join(ranked, second, ["b"], ["a"], slots=slots)
         one = F.struct(F.col("_da").alias("degree"), F.col("a").alias("id"))
         other = F.struct(F.col("_db").alias("degree"), F.col("b").alias("id"))
         oriented = ranked.select(

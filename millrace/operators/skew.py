@@ -91,6 +91,7 @@ def split_join(
     hot_side: str = "left",
     right_keys: list[str] | None = None,
     *,
+    slots: Slots | None = None,
     rows_per_slot: int = ROWS_PER_SLOT,
     max_hot: int = MAX_HOT,
 ) -> DataFrame:
@@ -99,12 +100,13 @@ def split_join(
     Hot rows are divided by a hash of ``spread``, columns that tell the rows of one key apart; their
     partners are repeated in each slot. ``how`` is inner, left, right or, with the hot rows on the
     left, left_semi. Without ``right_keys`` the keys have the same names on both sides and come out
-    once; with it, both come out.
+    once; with it, both come out. ``slots`` passes on hot keys that are known already.
     """
     if how not in ("inner", "left", "right") and (how, hot_side) != ("left_semi", "left"):
         raise ValueError(f"cannot split a {how} join with the hot rows on the {hot_side}")
     hot_rows, hot_keys = (left, keys) if hot_side == "left" else (right, right_keys or keys)
-    slots = Slots(hot_rows, hot_keys, rows_per_slot, max_hot)
+    if slots is None:
+        slots = Slots(hot_rows, hot_keys, rows_per_slot, max_hot)
     if not slots:
         return left.join(right, _condition(keys, right_keys), how)
     spread_columns = [F.col(c) for c in spread]

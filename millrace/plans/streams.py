@@ -15,6 +15,10 @@ from millrace.streaming.wordcount import word_counts
 from millrace.tables import table
 
 
+# Files of one micro-batch: what is read again when a batch fails half-way.
+FILES_PER_BATCH = 10_000
+
+
 def _log_folder(spark: SparkSession, sf: str) -> str:
     """Log lines as text files, one for each task that writes."""
     path = scratch_path(spark, "logs")
@@ -23,7 +27,7 @@ def _log_folder(spark: SparkSession, sf: str) -> str:
 
 
 def _parsed(spark: SparkSession, path: str) -> DataFrame:
-    return parse_lines(stream_files(spark, path, LINE_SCHEMA))
+    return parse_lines(stream_files(spark, path, LINE_SCHEMA, max_files=FILES_PER_BATCH))
 
 
 @query(LOG_FIELDS)
@@ -61,7 +65,7 @@ def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
     """Running count over the documents as a stream; the pattern matches a file and a directory."""
     checkpoint = scratch_path(spark, "checkpoint")
     schema = table(spark, sf, "documents").select("doc_id", "text").schema
-    documents = stream_files(spark, f"{sf}/documents.parquet*", schema, "parquet")
+    documents = stream_files(spark, f"{sf}/documents.parquet*", schema, "parquet", FILES_PER_BATCH)
     finish(to_state(word_counts(documents, "text"), checkpoint))
     return read_state(spark, checkpoint).withColumnRenamed("count", "n")
 

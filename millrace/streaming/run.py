@@ -11,6 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 HOURS = 3600
 
+# State on local disk, backed up to the checkpoint folder, instead of on the executor's heap.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def _start(
     df: DataFrame,
@@ -71,9 +75,16 @@ def to_state(
     """Keep a running aggregate as the query's own state, to be read with ``read_state``.
 
     The whole result stays distributed and takes no second copy; the sink discards what each trigger
-    emits.
+    emits. State may outgrow memory: it is kept in RocksDB. A query takes its settings when it
+    starts, so the session's own choice of store is put back afterwards.
     """
-    return _start(df, "noop", mode, checkpoint, every, name)
+    conf = df.sparkSession.conf
+    before = conf.get(STATE_STORE)
+    conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return _start(df, "noop", mode, checkpoint, every, name)
+    finally:
+        conf.set(STATE_STORE, before)
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:

@@ -107,3 +107,12 @@ def test_interval_trigger_and_timeout(spark):
     with pytest.raises(TimeoutError):
         run.finish(query, 1)
     assert not query.isActive
+
+
+def test_the_session_keeps_its_own_state_store(spark):
+    path, checkpoint = scratch_path(spark, "words"), scratch_path(spark, "checkpoint")
+    write_lines(spark, path, ["a"])
+    before = spark.conf.get(run.STATE_STORE)
+    run.finish(run.to_state(word_counts(stream_files(spark, path, logs.LINE_SCHEMA)), checkpoint), 120)
+    assert spark.conf.get(run.STATE_STORE) == before
+    assert rows(run.read_state(spark, checkpoint)) == [("a", 1)]
