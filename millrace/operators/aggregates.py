@@ -12,6 +12,8 @@ from millrace.operators.skew import MAX_HOT, ROWS_PER_SLOT, split_join
 from millrace.scratch import materialize
 
 MAX_ITEMS = 100_000
+# Copies of one item travel in pieces this much smaller than a row, so that parts fill up evenly.
+PIECES = 16
 
 
 def group_count(df: DataFrame, *keys, name: str = "n") -> DataFrame:
@@ -135,9 +137,10 @@ def _collect_parts(rows: DataFrame, max_items: int, rows_per_slot: int, max_hot:
     runs = materialize(rows.groupBy("_key", "_item").agg(F.count("*").alias("_n")), "runs")
     totals = runs.groupBy("_key").agg(F.sum("_n").alias("_total"))
     sized = split_join(runs, totals, ["_key"], ["_item"], rows_per_slot=rows_per_slot, max_hot=max_hot)
-    last_piece = F.ceil(F.col("_n") / max_items) - 1
+    piece = max(1, max_items // PIECES)
+    last_piece = F.ceil(F.col("_n") / piece) - 1
     pieces = sized.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)))
-    copies = F.least(F.lit(max_items), F.col("_n") - F.col("_piece") * max_items).cast("int")
+    copies = F.least(F.lit(piece), F.col("_n") - F.col("_piece") * piece).cast("int")
     parts = F.ceil(F.col("_total") / max_items)
     slotted = pieces.select(
         "_key",

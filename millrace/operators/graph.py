@@ -8,12 +8,15 @@ shared folder: plans stay short, and a lost executor costs one round at most.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import MAX_HOT, ROWS_PER_SLOT, Slots, split_join
 from millrace.scratch import materialize
+from millrace.session import SHUFFLE_PARTITIONS, partitions_for, session_settings
 
 
 class Graph:
@@ -49,20 +52,19 @@ class Graph:
     def pagerank(self, reset: float = 0.15, rounds: int = 10) -> DataFrame:
         """Vertices with their ``pagerank`` after a fixed number of rounds; ranks sum to the number
         of vertices."""
-        links = _Links(self, self.edges)
-        base = _kept(self.vertices.select("id").join(links.out_degrees(), "id", "left"), "id")
-        state = base.withColumn("_rank", F.lit(1.0))
-        for _ in range(rounds):
+
+        def one_round(base: DataFrame, links: _Links, state: DataFrame) -> DataFrame:
             sent = state.filter(F.col("_out").isNotNull()).select(
                 "id", (F.col("_rank") / F.col("_out")).alias("_share")
             )
             shares = F.sum(F.col("_share") * F.col("_copies"))
             received = links.send(sent).groupBy("dst").agg(shares.alias("_sum"))
             rank = F.lit(reset) + F.lit(1 - reset) * F.coalesce("_sum", F.lit(0.0))
-            state = _update(base, received).select("id", "_out", rank.alias("_rank"))
-            state = materialize(state, "pagerank")
-        links.release()
-        base.unpersist()
+            return _update(base, received).select("id", "_out", rank.alias("_rank"))
+
+        links = _Links(self, self.edges)
+        base = self.vertices.select("id").join(links.out_degrees(), "id", "left")
+        state = links.iterate(base, F.lit(1.0).alias("_rank"), one_round, rounds)
         total, vertices = state.agg(F.sum("_rank"), F.count("*")).first()
         scaled = (F.col("_rank") * F.lit(vertices / total if total else 1.0)).alias("pagerank")
         return self.vertices.join(state.select("id", scaled), "id")
@@ -72,20 +74,19 @@ class Graph:
 
         Of equally frequent labels the smallest wins, so the result is the same on every run.
         """
+
+        def one_round(base: DataFrame, links: _Links, state: DataFrame) -> DataFrame:
+            votes = links.send(state).groupBy("dst", "label").agg(F.sum("_copies").alias("_votes"))
+            best = F.min(F.struct((-F.col("_votes")).alias("_order"), "label")).alias("_best")
+            won = votes.groupBy("dst").agg(best)
+            return _update(base, won).select("id", F.coalesce("_best.label", "id").alias("label"))
+
         both_ways = self.edges.select("src", "dst").unionAll(
             self.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
         )
-        base = _kept(self.vertices.select("id"), "id")
         links = _Links(self, both_ways)
-        state = base.withColumn("label", F.col("id"))
-        for _ in range(rounds):
-            votes = links.send(state).groupBy("dst", "label").agg(F.sum("_copies").alias("_votes"))
-            best = F.min(F.struct((-F.col("_votes")).alias("_order"), "label")).alias("_best")
-            won = votes.groupBy("dst").agg(best)
-            label = F.coalesce("_best.label", "id").alias("label")
-            state = materialize(_update(base, won).select("id", label), "labels")
-        links.release()
-        base.unpersist()
+        start = F.col("id").alias("label")
+        state = links.iterate(self.vertices.select("id"), start, one_round, rounds)
         return self.vertices.join(state, "id")
 
     def triangle_counts(self) -> DataFrame:
@@ -156,10 +157,9 @@ class _Links:
         self.table = materialize(counted, "links")
         self.slots = Slots(self.table, ["src"], **graph.skew)
         self.keys = ["src", "_slot"] if self.slots else ["src"]
-        spread = self.table
+        self.edges = self.table
         if self.slots:
-            spread = self.slots.scatter(spread, ["src"], [F.col("dst")])
-        self.edges = _kept(spread, *self.keys)
+            self.edges = self.slots.scatter(self.table, ["src"], [F.col("dst")])
 
     def out_degrees(self) -> DataFrame:
         return self.table.groupBy(F.col("src").alias("id")).agg(F.sum("_copies").alias("_out"))
@@ -171,8 +171,30 @@ class _Links:
             state = self.slots.replicate(state, ["src"])
         return self.edges.hint("merge").join(state, self.keys)
 
-    def release(self) -> None:
+    def iterate(
+        self,
+        base: DataFrame,
+        start: Column,
+        one_round: Callable[[DataFrame, _Links, DataFrame], DataFrame],
+        rounds: int,
+    ) -> DataFrame:
+        """State after some rounds, from ``start`` in every vertex.
+
+        Edges and ``base``, a row per vertex, are laid out once, in as many partitions as their size
+        asks for; the shuffles of a round go to the same number.
+        """
+        spark = base.sparkSession
+        base = materialize(base, "vertices")
+        state = base.select("*", start)
+        partitions = partitions_for(spark, max(self.table.count(), base.count()))
+        base = _kept(base, partitions, "id")
+        self.edges = _kept(self.edges, partitions, *self.keys)
+        with session_settings(spark, {SHUFFLE_PARTITIONS: str(partitions)}):
+            for _ in range(rounds):
+                state = materialize(one_round(base, self, state), "round")
         self.edges.unpersist()
+        base.unpersist()
+        return state
 
 
 def _update(base: DataFrame, received: DataFrame) -> DataFrame:
@@ -180,10 +202,9 @@ def _update(base: DataFrame, received: DataFrame) -> DataFrame:
     return base.hint("merge").join(received, base["id"] == received["dst"], "left")
 
 
-def _kept(df: DataFrame, *columns: str) -> DataFrame:
+def _kept(df: DataFrame, partitions: int, *columns: str) -> DataFrame:
     """Partitioned and sorted by ``columns`` and kept, on disk where memory ends, so that a merge
     join reads it as it is; a lost block is recomputed."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     laid_out = df.repartition(partitions, *columns).sortWithinPartitions(*columns)
     return laid_out.persist(StorageLevel.MEMORY_AND_DISK)
 

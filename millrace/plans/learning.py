@@ -95,6 +95,13 @@ def ml_logistic_coefficients(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([*rows, ("intercept", float(model.intercept))], "feature string, weight double")
 
 
+@query()
+def ml_logistic_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics of the fitted model on the documents it has not seen."""
+    model, test = _logistic(spark, sf)
+    return metrics.classification_metrics(classify.score(model, test, "label"))
+
+
 @query("""
     WITH p AS (
         SELECT CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y,
@@ -193,6 +200,12 @@ def als_fit_predict(spark: SparkSession, sf: str) -> DataFrame:
     return model.transform(test)
 
 
+@query()
+def als_rmse(spark: SparkSession, sf: str) -> DataFrame:
+    """Error of the recommender on ratings it has not seen."""
+    return metrics.rmse(als_fit_predict(spark, sf), "rating", "prediction")
+
+
 @query()
 def als_recommend_titles(spark: SparkSession, sf: str) -> DataFrame:
     model = recommend.fit_als(_ratings(spark, sf), "user_id", "item_id", "rating")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.plans.registry import query
 from millrace.plans.scalars import LOG_FIELDS, event_lines, log_columns, mixed_lines
 from millrace.scratch import scratch_path
+from millrace.session import partitions_for
 from millrace.sources.streams import stream_files
 from millrace.streaming.logs import LINE_SCHEMA, parse_lines, summarize
 from millrace.streaming.run import finish, read_state, to_parquet, to_state
@@ -18,6 +19,9 @@ from millrace.tables import table
 # Files of one micro-batch: what is read again when a batch fails half-way.
 FILES_PER_BATCH = 10_000
 
+# Words of a document, roughly; only the number of state partitions depends on it.
+WORDS = 100
+
 
 def _log_folder(spark: SparkSession, sf: str) -> str:
     """Log lines as text files, one for each task that writes."""
@@ -45,7 +49,8 @@ def stream_log_parse(spark: SparkSession, sf: str) -> DataFrame:
 def stream_log_summary(spark: SparkSession, sf: str) -> DataFrame:
     checkpoint = scratch_path(spark, "checkpoint")
     summary = summarize(_parsed(spark, _log_folder(spark, sf)))
-    finish(to_state(summary.orderBy("server", "level"), checkpoint))
+    partitions = partitions_for(spark, table(spark, sf, "events").count())
+    finish(to_state(summary.orderBy("server", "level"), checkpoint, partitions=partitions))
     return read_state(spark, checkpoint).withColumnRenamed("count", "n")
 
 
@@ -64,9 +69,10 @@ def stream_parquet_partitioned(spark: SparkSession, sf: str) -> DataFrame:
 def stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
     """Running count over the documents as a stream; the pattern matches a file and a directory."""
     checkpoint = scratch_path(spark, "checkpoint")
-    schema = table(spark, sf, "documents").select("doc_id", "text").schema
+    stored = table(spark, sf, "documents").select("doc_id", "text")
+    schema, partitions = stored.schema, partitions_for(spark, stored.count() * WORDS)
     documents = stream_files(spark, f"{sf}/documents.parquet*", schema, "parquet", FILES_PER_BATCH)
-    finish(to_state(word_counts(documents, "text"), checkpoint))
+    finish(to_state(word_counts(documents, "text"), checkpoint, partitions=partitions))
     return read_state(spark, checkpoint).withColumnRenamed("count", "n")
 
 

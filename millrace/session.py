@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes shuffles, turns joins into broadcasts when the measured side is small
@@ -14,6 +17,12 @@ ADAPTIVE = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+# Rows of a partition: few enough to sort in memory; small data is still spread over all cores.
+ROWS_PER_PARTITION = 1_000_000
+LEAST_ROWS = 50_000
+
 
 def build_session(
     app_name: str,
@@ -41,8 +50,27 @@ def build_session(
     if py_files is not None:
         settings["spark.submit.pyFiles"] = py_files
     if shuffle_partitions is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        settings[SHUFFLE_PARTITIONS] = str(shuffle_partitions)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for the jobs and streams started inside, put back afterwards."""
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Number of partitions for data that stays partitioned, where adaptive execution cannot choose."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(min(cores, -(-rows // LEAST_ROWS)), -(-rows // ROWS_PER_PARTITION), 1)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.session import SHUFFLE_PARTITIONS, session_settings
+
 HOURS = 3600
 
 # State on local disk, backed up to the checkpoint folder, instead of on the executor's heap.
@@ -71,20 +73,20 @@ def to_state(
     mode: str = "complete",
     every: str | None = None,
     name: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep a running aggregate as the query's own state, to be read with ``read_state``.
 
     The whole result stays distributed and takes no second copy; the sink discards what each trigger
-    emits. State may outgrow memory: it is kept in RocksDB. A query takes its settings when it
-    starts, so the session's own choice of store is put back afterwards.
+    emits. State may outgrow memory: it is kept in RocksDB. ``partitions`` is fixed by the first
+    start for the life of the checkpoint; by default it is the session's. A query takes its settings
+    when it starts, so the session's own are put back afterwards.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(STATE_STORE)
-    conf.set(STATE_STORE, ROCKSDB)
-    try:
+    settings = {STATE_STORE: ROCKSDB}
+    if partitions is not None:
+        settings[SHUFFLE_PARTITIONS] = str(partitions)
+    with session_settings(df.sparkSession, settings):
         return _start(df, "noop", mode, checkpoint, every, name)
-    finally:
-        conf.set(STATE_STORE, before)
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:

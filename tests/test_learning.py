@@ -115,5 +115,8 @@ def test_queries_without_sql(spark):
     assert best.filter("count > 5").count() == 0
     compared = QUERIES["ml_compare_models"](spark, SF).collect()
     assert sorted(r["model"] for r in compared) == ["forest", "tree"] and all(0 <= r["f1"] <= 1 for r in compared)
+    quality = QUERIES["ml_logistic_metrics"](spark, SF).first()
+    assert all(0 <= v <= 1 for v in quality)
+    assert 0 < QUERIES["als_rmse"](spark, SF).first()[0] < 4
     weights = QUERIES["ml_logistic_coefficients"](spark, SF).collect()
     assert [r["feature"] for r in weights] == ["n_chars", "n_words", "n_lines", "intercept"]
