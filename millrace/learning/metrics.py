@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def classification_metrics(
+    df: DataFrame, label: str = "label", prediction: str = "prediction"
+) -> DataFrame:
     """Accuracy, weighted precision, weighted recall and F1 as one row.
 
     One pass counts the confusion table; all else works on its few rows. A class's precision is 0
@@ -16,33 +18,42 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
     cells = df.groupBy(F.col(label).alias("_l"), F.col(prediction).alias("_p")).agg(
         F.count("*").alias("_n")
     )
-    hit = F.when(F.col("_l") == F.col("_p"), F.col("_n")).otherwise(0)
-    sides = cells.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("_l").alias("c"), F.col("_n").alias("actual"), F.lit(0).cast("bigint").alias("guessed"), hit.alias("right")),
-                F.struct(F.col("_p").alias("c"), F.lit(0).cast("bigint").alias("actual"), F.col("_n").alias("guessed"), F.lit(0).cast("bigint").alias("right")),
-            )
-        ).alias("s")
-    ).select("s.*")
-    classes = sides.groupBy("c").agg(
-        F.sum("actual").alias("actual"), F.sum("guessed").alias("guessed"), F.sum("right").alias("right")
+    # Each cell counts for its label's class and for its prediction's class.
+    n, none = F.col("_n"), F.lit(0).cast("bigint")
+    right = F.when(F.col("_l") == F.col("_p"), n).otherwise(none)
+    as_label = F.struct(
+        F.col("_l").alias("c"), n.alias("actual"), none.alias("guessed"), right.alias("right")
+    )
+    as_guess = F.struct(
+        F.col("_p").alias("c"), none.alias("actual"), n.alias("guessed"), none.alias("right")
+    )
+    classes = (
+        cells.select(F.inline(F.array(as_label, as_guess)))
+        .groupBy("c")
+        .agg(*[F.sum(c).alias(c) for c in ("actual", "guessed", "right")])
     )
-    ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
     per_class = classes.select(
-        "actual", "right", ratio("right", "guessed").alias("p"), ratio("right", "actual").alias("r")
-    ).withColumn(
-        "f", F.when(F.col("p") + F.col("r") > 0, 2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0)
+        "actual", "right", _ratio("right", "guessed").alias("p"), _ratio("right", "actual").alias("r")
     )
-    weighted = lambda c: F.sum(F.col(c) * F.col("actual")) / F.sum("actual")
+    both = F.col("p") + F.col("r")
+    f1 = F.when(both > 0, 2 * F.col("p") * F.col("r") / both).otherwise(0.0)
+    per_class = per_class.withColumn("f", f1)
     return per_class.agg(
         (F.sum("right") / F.sum("actual")).alias("accuracy"),
-        weighted("p").alias("weighted_precision"),
-        weighted("r").alias("weighted_recall"),
-        weighted("f").alias("f1"),
+        _weighted("p").alias("weighted_precision"),
+        _weighted("r").alias("weighted_recall"),
+        _weighted("f").alias("f1"),
     )
 
 
+def _ratio(part: str, whole: str) -> Column:
+    return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(0.0)
+
+
+def _weighted(name: str) -> Column:
+    return F.sum(F.col(name) * F.col("actual")) / F.sum("actual")
+
+
 def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Root mean squared error as one row."""
     error = F.col(prediction) - F.col(label)

@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 
 from millrace.operators.skew import MAX_HOT, ROWS_PER_SLOT, Slots, split_join
 from millrace.scratch import materialize
-from millrace.session import SHUFFLE_PARTITIONS, partitions_for, session_settings
+from millrace.session import (
+    ADAPTIVE_ENABLED,
+    SHUFFLE_PARTITIONS,
+    partitions_for,
+    session_settings,
+)
 
 
 class Graph:
@@ -181,7 +186,8 @@ class _Links:
         """State after some rounds, from ``start`` in every vertex.
 
         Edges and ``base``, a row per vertex, are laid out once, in as many partitions as their size
-        asks for; the shuffles of a round go to the same number.
+        asks for, and the shuffles of a round go to the same number. That leaves adaptive execution
+        nothing to decide, so a round is one job without re-planning between its stages.
         """
         spark = base.sparkSession
         base = materialize(base, "vertices")
@@ -189,7 +195,7 @@ class _Links:
         partitions = partitions_for(spark, max(self.table.count(), base.count()))
         base = _kept(base, partitions, "id")
         self.edges = _kept(self.edges, partitions, *self.keys)
-        with session_settings(spark, {SHUFFLE_PARTITIONS: str(partitions)}):
+        with session_settings(spark, {SHUFFLE_PARTITIONS: str(partitions), ADAPTIVE_ENABLED: "false"}):
             for _ in range(rounds):
                 state = materialize(one_round(base, self, state), "round")
         self.edges.unpersist()

@@ -20,12 +20,19 @@ SHARDS = 64
 TRACKED = 256
 NULL_SLOTS = 1024
 
+# Times written to the microsecond, so that two keys never have the same text.
+WHOLE_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def _identity(df: DataFrame, keys: list[str]) -> Column:
     """A single plain key itself; JSON text of several keys or a nested one."""
-    if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, T.AtomicType):
+    kind = df.schema[keys[0]].dataType
+    if len(keys) == 1 and isinstance(kind, T.AtomicType) and not isinstance(kind, T.BinaryType):
         return F.col(keys[0])
-    return F.to_json(F.struct(*keys))
+    return F.to_json(F.struct(*keys), WHOLE_TIMES)
 
 
 class Slots:

@@ -7,18 +7,19 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+ADAPTIVE_ENABLED = "spark.sql.adaptive.enabled"
+
 # Adaptive execution sizes shuffles, turns joins into broadcasts when the measured side is small
 # and splits skewed join partitions, also where that costs one more exchange.
 ADAPTIVE = {
-    "spark.sql.adaptive.enabled": "true",
+    ADAPTIVE_ENABLED: "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
-SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-
 # Rows of a partition: few enough to sort in memory; small data is still spread over all cores.
 ROWS_PER_PARTITION = 1_000_000
 LEAST_ROWS = 50_000

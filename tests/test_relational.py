@@ -193,6 +193,16 @@ def test_split_join_on_two_keys(spark):
     assert rows(split) == rows(left.join(right, ["a", "b"], "left"))
 
 
+def test_split_join_on_times_and_bytes(spark):
+    data = [(dt.datetime(2024, 1, 1, 0, 0, 0, i % 3), b"k", i) for i in range(90)]
+    details = spark.createDataFrame(data, "t timestamp_ntz, b binary, item int")
+    owners = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 0, i), b"k") for i in range(9)], "t timestamp_ntz, b binary")
+    for keys in (["t"], ["b"], ["t", "b"]):
+        first, second = owners.select(*keys), details.select(*keys, "item")
+        split = split_join(first, second, keys, ["item"], "left", "right", rows_per_slot=7)
+        assert rows(split) == rows(first.join(second, keys, "left"))
+
+
 def test_split_join_spreads_the_hot_key(spark):
     left = spark.range(1000).selectExpr("IF(id < 400, 0, id) AS k", "id AS item")
     slots = Slots(left, ["k"], rows_per_slot=50)
