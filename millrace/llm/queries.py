@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.encoding import vocabulary
+from millrace.llm.line_dedup import apply_bitmaps, line_bitmaps
 from millrace.llm.packing import pack_documents
+from millrace.llm.simhash import near_duplicates
 from millrace.llm.token_counts import apply_edits, replacements, with_trees
 from millrace.llm.token_files import checksums, read_tokens, write_tokens
 from millrace.scratch import scratch_path
@@ -30,6 +32,41 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query(
+    r"""
+    WITH lines AS (
+        SELECT doc_id, i, line, lower_key AS key FROM (
+            SELECT doc_id, unnest(range(len(parts))) AS i, unnest(parts) AS line,
+                   translate(trim(unnest(parts), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_key
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+        )
+    ),
+    frequent AS (
+        SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+    )
+    SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+    FROM lines LEFT JOIN frequent f ON lines.key = f.key
+    GROUP BY doc_id
+    """
+)
+def op1_line_dedup(spark, sf_dir):
+    """Documents without the lines that stand in ten documents or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = apply_bitmaps(docs, line_bitmaps(docs, min_docs=10, keep_first=False))
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return kept.select("doc_id", "n_lines", "n_dropped", sha.alias("kept_sha256"))
+
+
+@query()
+def op3_simhash(spark, sf_dir):
+    """Documents with their fingerprint and the smallest id of their class."""
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @query()
 def op6_packing(spark, sf_dir):
     """Pieces of all documents in windows of 4,096 ids, with checksums of their ids."""
