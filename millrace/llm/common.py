@@ -57,7 +57,10 @@ def ascii_lower(value: Column) -> Column:
 
 def words_of(value: Column) -> Column:
     """Words between ASCII white space, as an array, empty for a text without any."""
-    return F.filter(F.split(value, SPACE + "+", -1), lambda word: word != "")
+    trimmed = F.btrim(value, F.lit(SPACES))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
+        F.split(trimmed, SPACE + "+", -1)
+    )
 
 
 def pieces(batches: Iterator[pa.RecordBatch], size: int, column: str = "text") -> Iterator[pa.RecordBatch]:

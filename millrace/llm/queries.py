@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm.encoding import vocabulary
 from millrace.llm.line_dedup import apply_bitmaps, line_bitmaps
 from millrace.llm.packing import pack_documents
+from millrace.llm.quality import judged
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.token_counts import apply_edits, replacements, with_trees
 from millrace.llm.token_files import checksums, read_tokens, write_tokens
@@ -67,6 +68,14 @@ def op3_simhash(spark, sf_dir):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query()
+def op5_quality_rules(spark, sf_dir):
+    """Counts of every document and whether the rules keep it."""
+    found = judged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *counts, "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
+
+
 @query()
 def op6_packing(spark, sf_dir):
     """Pieces of all documents in windows of 4,096 ids, with checksums of their ids."""
