@@ -12,6 +12,7 @@ from millrace.llm.line_dedup import apply_bitmaps, line_bitmaps
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import judged
 from millrace.llm.simhash import near_duplicates
+from millrace.llm.substring_dedup import remove_repeats
 from millrace.llm.token_counts import apply_edits, replacements, with_trees
 from millrace.llm.token_files import checksums, read_tokens, write_tokens
 from millrace.scratch import scratch_path
@@ -60,6 +61,13 @@ def op1_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", sha.alias("kept_sha256"))
 
 
+@query()
+def op2_substring_dedup(spark, sf_dir):
+    """Documents without the words of 20-word windows that stand earlier."""
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query()
 def op3_simhash(spark, sf_dir):
     """Documents with their fingerprint and the smallest id of their class."""
