@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.encoding import vocabulary
+from millrace.llm.language import fit, held_out, predict
 from millrace.llm.line_dedup import apply_bitmaps, line_bitmaps
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import judged
@@ -101,6 +102,14 @@ def op7_token_files(spark, sf_dir):
     return checksums(read_tokens(spark, path))
 
 
+@query()
+def op8_language_id(spark, sf_dir):
+    """Predicted language of all documents, from centroids of those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = predict(docs, fit(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @query()
 def op10_token_counts(spark, sf_dir):
     """Token counts of all documents, before and after every run of five or more digits and every
