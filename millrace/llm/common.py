@@ -2,8 +2,8 @@
 
 A *document* is a row with ``doc_id`` and ``text``; other columns are not looked at. Two rows are the
 same document if both values agree (NULL equals NULL), so rows that repeat get the same verdict and
-count once, and rows that share an id but not a text are told apart. ``keyed`` adds the hash of the
-text that does so; ``same_document`` is the join condition.
+count once, and rows that share an id but not a text are told apart. ``keyed`` adds the
+hash of the text that does so, and ``of_documents`` joins by both.
 """
 
 from __future__ import annotations
@@ -30,18 +30,16 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("_text_hash"), "text")
 
 
-def same_document(left: DataFrame, right: DataFrame) -> Column:
-    """Rows of the same document, also where the id is NULL."""
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["_text_hash"] == right["_text_hash"])
+def matched(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
+    """Join on columns that both sides have, NULL equal to NULL; they come out once, from the left."""
+    right = right.withColumnsRenamed({name: f"_right_{name}" for name in names})
+    on = [F.col(name).eqNullSafe(F.col(f"_right_{name}")) for name in names]
+    return left.join(right, on, how).drop(*[f"_right_{name}" for name in names])
 
 
 def of_documents(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """``left`` with what ``right``, one row per document, says about each of its rows."""
-    right = right.withColumnsRenamed({c: f"_right{c}" for c in KEY})
-    on = left["doc_id"].eqNullSafe(right["_rightdoc_id"]) & (
-        left["_text_hash"] == right["_right_text_hash"]
-    )
-    return left.join(right, on, how).drop(*[f"_right{c}" for c in KEY])
+    return matched(left, right, KEY, how)
 
 
 def text_of(column: str = "text") -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.decontamination import leaks
 from millrace.llm.encoding import vocabulary
 from millrace.llm.language import fit, held_out, predict
 from millrace.llm.line_dedup import apply_bitmaps, line_bitmaps
@@ -77,6 +78,13 @@ def op3_simhash(spark, sf_dir):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query()
+def op4_decontamination(spark, sf_dir):
+    """Documents that hold a benchmark item, with the item."""
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_windows", "n_matched")
+
+
 @query()
 def op5_quality_rules(spark, sf_dir):
     """Counts of every document and whether the rules keep it."""
