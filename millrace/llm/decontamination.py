@@ -155,3 +155,10 @@ def leaks(
         .filter(F.col("n_matched") >= share * F.col("n_windows"))
         .select(*KEY, "item_id", "n_windows", "n_matched")
     )
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
+    """The rows of ``docs`` that leak no item, with all their columns."""
+    rows = docs.drop("_text_hash").withColumn("_text_hash", F.xxhash64("text"))
+    leaked = leaks(docs, benchmark, window, share).select(*KEY)
+    return of_documents(rows, leaked, "left_anti").drop("_text_hash")

@@ -88,11 +88,12 @@ def line_bitmaps(
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with ``text`` made of the kept lines, and the counts of their bitmap. Rows that lose no
-    line keep their text as it is, NULL included."""
-    names = ["n_lines", "n_dropped"]
-    rows = docs.drop(*names, "_text_hash", "keep").withColumn("_text_hash", F.xxhash64("text"))
+    """Rows of ``docs`` with ``text`` made of the kept lines, and ``_bitmap``, their bitmap. Rows that
+    lose no line keep their text as it is, NULL included."""
+    packed = bitmaps.select(*KEY, F.struct("n_lines", "n_dropped", "keep").alias("_bitmap"))
+    rows = docs.drop("_text_hash", "_bitmap").withColumn("_text_hash", F.xxhash64("text"))
     lines = lines_of(text_of())
-    kept = F.transform("keep", lambda run: F.slice(lines, run["first"] + 1, run["lines"]))
-    text = F.when(F.col("n_dropped") == 0, F.col("text")).otherwise(F.array_join(F.flatten(kept), "\n"))
-    return of_documents(rows, bitmaps).withColumn("text", text).drop("_text_hash", "keep")
+    kept = F.transform("_bitmap.keep", lambda run: F.slice(lines, run["first"] + 1, run["lines"]))
+    left = F.array_join(F.flatten(kept), "\n")
+    text = F.when(F.col("_bitmap.n_dropped") == 0, F.col("text")).otherwise(left)
+    return of_documents(rows, packed).withColumn("text", text).drop("_text_hash")

@@ -12,6 +12,7 @@ from millrace.llm.encoding import vocabulary
 from millrace.llm.language import fit, held_out, predict
 from millrace.llm.line_dedup import apply_bitmaps, line_bitmaps
 from millrace.llm.packing import pack_documents
+from millrace.llm.pii import KINDS, personal_data, written
 from millrace.llm.quality import judged
 from millrace.llm.simhash import near_duplicates
 from millrace.llm.substring_dedup import remove_repeats
@@ -60,7 +61,7 @@ def op1_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = apply_bitmaps(docs, line_bitmaps(docs, min_docs=10, keep_first=False))
     sha = F.sha2(F.coalesce("text", F.lit("")), 256)
-    return kept.select("doc_id", "n_lines", "n_dropped", sha.alias("kept_sha256"))
+    return kept.select("doc_id", "_bitmap.n_lines", "_bitmap.n_dropped", sha.alias("kept_sha256"))
 
 
 @query()
@@ -114,8 +115,21 @@ def op7_token_files(spark, sf_dir):
 def op8_language_id(spark, sf_dir):
     """Predicted language of all documents, from centroids of those that are not held out."""
     docs = table(spark, sf_dir, "documents")
-    found = predict(docs, fit(docs))
-    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+    found = predict(docs.select("doc_id", "text"), fit(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "language.*")
+
+
+@query()
+def op9_pii(spark, sf_dir):
+    """Spans of personal data in all documents."""
+    found = personal_data(table(spark, sf_dir, "documents"))
+    of_kind = lambda kind: lambda s: s["kind"] == kind
+    counts = [
+        F.size(F.filter("base", of_kind(kind))).cast("bigint").alias(f"n_{kind}")
+        for kind in KINDS
+    ]
+    base = F.sha2(written(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, written(F.concat("base", "added")).alias("spans"))
 
 
 @query()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import pieces
+from millrace.llm.common import KEY, keyed, of_documents, pieces
 from millrace.llm.components import components
 from millrace.scratch import materialize
 
@@ -74,14 +74,15 @@ def fingerprint(hashes: list[int]) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit number."""
+    """``doc_id``, ``_text_hash`` and ``fp``, the fingerprint as a signed 64-bit number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, READ_BYTES):
             fps = [signed(fingerprint(shingle_hashes(t, shingle))) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            columns = [batch.column(c) for c in KEY]
+            yield pa.record_batch([*columns, pa.array(fps, pa.int64())], names=[*KEY, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return keyed(docs).mapInArrow(run, "doc_id bigint, _text_hash bigint, fp bigint")
 
 
 def linked(values: list[int]) -> list[tuple[int, int]]:
@@ -133,13 +134,24 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id``, the smallest id of the document's class."""
+    """``doc_id``, ``_text_hash``, ``fp``, ``component_id`` (the smallest id of the document's class)
+    and ``class_fp`` (the smallest fingerprint of the class), for every row."""
     marked = materialize(fingerprints(docs, shingle), "fingerprints")
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("_least"))
     roots = components(links(distinct.select("fp")))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "_least", F.coalesce("root", "fp").alias("_root")
+        "fp", "_least", F.coalesce("root", "fp").alias("class_fp")
     )
-    least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    classes = rooted.join(least, "_root").select("fp", "component_id")
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    least = rooted.groupBy("class_fp").agg(F.min("_least").alias("component_id"))
+    classes = rooted.join(least, "class_fp").select("fp", "class_fp", "component_id")
+    return marked.join(classes, "fp").select(*KEY, "fp", "component_id", "class_fp")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One row of each class, with all its columns: that of the smallest id, NULL last, then of the
+    smallest hash of the text; any of rows that repeat in both."""
+    order = F.struct(F.col("doc_id").isNull(), *KEY)
+    first = near_duplicates(docs, shingle).groupBy("class_fp").agg(F.min(order).alias("_first"))
+    kept = first.select("_first.doc_id", "_first._text_hash")
+    rows = docs.drop("_text_hash").withColumn("_text_hash", F.xxhash64("text"))
+    return of_documents(rows, kept, "left_semi").dropDuplicates(KEY).drop("_text_hash")
