@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import exact_avg, rounded_avg
-from millrace.operators.skew import MAX_HOT, ROWS_PER_SLOT, split_join
+from millrace.operators.skew import ROWS_PER_SLOT, split_join
 from millrace.scratch import materialize
 
 MAX_ITEMS = 100_000
@@ -109,7 +109,7 @@ def collect_items(
     name: str = "items",
     max_items: int = MAX_ITEMS,
     rows_per_slot: int = ROWS_PER_SLOT,
-    max_hot: int = MAX_HOT,
+    max_hot: int | None = None,
 ) -> DataFrame:
     """The rows of each group as a sorted array: of values for one item column, else of structs.
 
@@ -131,7 +131,7 @@ def collect_items(
     return grouped.select("_key.*", part.alias("part"), array.alias(name))
 
 
-def _collect_parts(rows: DataFrame, max_items: int, rows_per_slot: int, max_hot: int) -> DataFrame:
+def _collect_parts(rows: DataFrame, max_items: int, rows_per_slot: int, max_hot: int | None) -> DataFrame:
     # Copies of one item become one row with a number, then pieces of bounded length. Keys and items
     # are structs, so that NULL fields compare as equal.
     runs = materialize(rows.groupBy("_key", "_item").agg(F.count("*").alias("_n")), "runs")

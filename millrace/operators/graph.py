@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import MAX_HOT, ROWS_PER_SLOT, Slots, split_join
+from millrace.operators.skew import ROWS_PER_SLOT, Slots, split_join
 from millrace.scratch import materialize
 from millrace.session import (
     ADAPTIVE_ENABLED,
@@ -32,7 +32,7 @@ class Graph:
         vertices: DataFrame,
         edges: DataFrame,
         rows_per_slot: int = ROWS_PER_SLOT,
-        max_hot: int = MAX_HOT,
+        max_hot: int | None = None,
     ):
         for df, needed in ((vertices, ["id"]), (edges, ["src", "dst"])):
             missing = [c for c in needed if c not in df.columns]
@@ -229,11 +229,11 @@ def matched_relationships(
     nodes: DataFrame,
     key: str = "id",
     rows_per_slot: int = ROWS_PER_SLOT,
-    max_hot: int = MAX_HOT,
+    max_hot: int | None = None,
 ) -> DataFrame:
     """Edges whose two endpoints both exist as nodes."""
-    sources = nodes.select(F.col(key).alias("src")).distinct()
-    targets = nodes.select(F.col(key).alias("dst")).distinct()
+    sources = nodes.select(F.col(key).alias("src"))
+    targets = nodes.select(F.col(key).alias("dst"))
     skew = {"rows_per_slot": rows_per_slot, "max_hot": max_hot}
     kept = split_join(edges, sources, ["src"], ["dst"], "left_semi", **skew)
     return split_join(kept, targets, ["dst"], ["src"], "left_semi", **skew).select(*edges.columns)

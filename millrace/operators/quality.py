@@ -14,7 +14,7 @@ def count_nulls(df: DataFrame) -> DataFrame:
 def null_profile(df: DataFrame) -> DataFrame:
     """The same counts as rows ``(column_name, nulls)``."""
     counts = count_nulls(df)
-    return counts.unpivot([], counts.columns, "column_name", "nulls")
+    return counts.unpivot([], [f"`{c}`" for c in counts.columns], "column_name", "nulls")
 
 
 def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:

@@ -8,39 +8,41 @@ partitioned for reuse, as in graph rounds. Those jobs use ``split_join`` or ``Sl
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS_PER_SLOT = 1_000_000
-MAX_HOT = 10_000
-
-# Frequent items are counted per shard of the keys, so that many tasks merge the counts.
-SHARDS = 64
-TRACKED = 256
-NULL_SLOTS = 1024
+from millrace.scratch import materialize
 
-# Times written to the microsecond, so that two keys never have the same text.
-WHOLE_TIMES = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
+ROWS_PER_SLOT = 1_000_000
 
 
-def _identity(df: DataFrame, keys: list[str]) -> Column:
-    """A single plain key itself; JSON text of several keys or a nested one."""
-    kind = df.schema[keys[0]].dataType
-    if len(keys) == 1 and isinstance(kind, T.AtomicType) and not isinstance(kind, T.BinaryType):
-        return F.col(keys[0])
-    return F.to_json(F.struct(*keys), WHOLE_TIMES)
+def common_types(
+    left: DataFrame, right: DataFrame, keys: list[str], right_keys: list[str]
+) -> list[T.DataType] | None:
+    """The types in which an equi-join compares the keys; None where text meets another type, whose
+    comparison a cast to a common type would not repeat."""
+    found = []
+    for one, other in zip(keys, right_keys):
+        kinds = [df.select(F.col(key).alias("k")).schema["k"].dataType for df, key in ((left, one), (right, other))]
+        if len({isinstance(kind, T.StringType) for kind in kinds}) > 1:
+            return None
+        try:
+            both = left.select(F.col(one).alias("k")).unionAll(right.select(F.col(other).alias("k")))
+        except AnalysisException:
+            return None
+        found.append(both.schema["k"].dataType)
+    return found
 
 
 class Slots:
     """Number of slots for each hot key of ``df``, a key with more than ``rows_per_slot`` rows.
 
-    The frequent-items aggregate finds them: a fixed number of counters per task and shard, with no
-    shuffle of rows or keys. At most ``max_hot`` keys reach the driver, which bounds the table that
-    is broadcast. Finding a key is a matter of speed only: one that is missed is joined unsplit.
+    Keys are counted exactly, combined before the shuffle, in the type in which they will be compared
+    (``types``, their own by default), and stay typed columns: one row per key that Spark holds equal,
+    NULL included. There are at most rows / ``rows_per_slot`` of them. They are a table that joins
+    read; whether it is broadcast is left to its size. ``max_hot`` keeps the most frequent ones only.
     """
 
     def __init__(
@@ -48,45 +50,49 @@ class Slots:
         df: DataFrame,
         keys: list[str],
         rows_per_slot: int = ROWS_PER_SLOT,
-        max_hot: int = MAX_HOT,
+        max_hot: int | None = None,
+        types: list[T.DataType] | None = None,
     ):
-        items = df.select(_identity(df, keys).alias("_hot_key")).filter(F.col("_hot_key").isNotNull())
-        counters = F.expr(f"approx_top_k(_hot_key, {TRACKED}, {TRACKED})").alias("_top")
-        shard = F.pmod(F.xxhash64("_hot_key"), F.lit(SHARDS))
-        frequent = items.groupBy(shard).agg(counters).select(F.inline("_top"))
+        self.types = types or [df.select(F.col(key).alias("k")).schema["k"].dataType for key in keys]
+        self.names = [f"_hot_key{i}" for i in range(len(keys))]
         hot = (
-            frequent.filter(F.col("count") > rows_per_slot)
-            .select("item", F.ceil(F.col("count") / rows_per_slot).cast("int").alias("_slots"))
-            .orderBy(F.desc("_slots"), "item")
-            .limit(max_hot)
+            df.select(*[key.alias(name) for key, name in zip(self._typed(keys), self.names)])
+            .groupBy(*self.names)
+            .count()
+            .filter(F.col("count") > rows_per_slot)
+            .select(*self.names, F.ceil(F.col("count") / rows_per_slot).cast("int").alias("_slots"))
         )
-        rows = hot.collect()
-        self.table = df.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+        if max_hot is not None:
+            hot = hot.orderBy(F.desc("_slots"), *self.names).limit(max_hot)
+        table = materialize(hot, "hot-keys")
+        self.table = None if table.isEmpty() else table
 
     def __bool__(self) -> bool:
         return self.table is not None
 
-    def _attach(self, df: DataFrame, keys: list[str]) -> DataFrame:
+    def _typed(self, keys: list[str]) -> list[Column]:
+        return [F.col(key).cast(kind) for key, kind in zip(keys, self.types)]
+
+    def _attach(self, df: DataFrame, keys: list[str], nulls: bool) -> DataFrame:
         """Rows with the ``_slots`` of their key, NULL unless it is hot."""
-        marked = df.withColumn("_hot_key", _identity(df, keys))
-        hot = F.broadcast(self.table.withColumnRenamed("item", "_hot_key"))
-        return marked.join(hot, "_hot_key", "left")
+        pairs = zip(self._typed(keys), self.names)
+        on = [key.eqNullSafe(F.col(name)) if nulls else key == F.col(name) for key, name in pairs]
+        return df.join(self.table, on, "left")
 
     def scatter(self, df: DataFrame, keys: list[str], spread: list[Column]) -> DataFrame:
         """Give every row a ``_slot``; rows of a hot key get theirs from a hash of ``spread``.
 
-        Rows without a key have no partner in any slot and are spread as well.
+        Rows without a key have no partner in any slot and are spread like those of any key.
         """
-        slots = F.when(F.col("_hot_key").isNull(), NULL_SLOTS).otherwise(F.coalesce("_slots", F.lit(1)))
-        slot = F.pmod(F.xxhash64(*spread), slots).cast("int").alias("_slot")
-        return self._attach(df, keys).select(*df.columns, slot)
+        slot = F.pmod(F.xxhash64(*spread), F.coalesce("_slots", F.lit(1))).cast("int").alias("_slot")
+        return self._attach(df, keys, nulls=True).select(*df.columns, slot)
 
     def replicate(self, df: DataFrame, keys: list[str], flag: str | None = None) -> DataFrame:
         """Repeat the rows of a hot key once per slot; ``flag`` names a column that marks them."""
         last = F.coalesce("_slots", F.lit(1)) - 1
         flags = [] if flag is None else [F.col("_slots").isNotNull().alias(flag)]
         slot = F.explode(F.sequence(F.lit(0), last)).alias("_slot")
-        return self._attach(df, keys).select(*df.columns, *flags, slot)
+        return self._attach(df, keys, nulls=False).select(*df.columns, *flags, slot)
 
 
 def split_join(
@@ -100,20 +106,23 @@ def split_join(
     *,
     slots: Slots | None = None,
     rows_per_slot: int = ROWS_PER_SLOT,
-    max_hot: int = MAX_HOT,
+    max_hot: int | None = None,
 ) -> DataFrame:
     """Join where one side has hot keys and the other few rows per key.
 
     Hot rows are divided by a hash of ``spread``, columns that tell the rows of one key apart; their
     partners are repeated in each slot. ``how`` is inner, left, right or, with the hot rows on the
     left, left_semi. Without ``right_keys`` the keys have the same names on both sides and come out
-    once; with it, both come out. ``slots`` passes on hot keys that are known already.
+    once; with it, both come out. ``slots`` passes on hot keys that are known already, counted in the
+    type in which both sides compare. Text keys that meet another type are joined unsplit.
     """
     if how not in ("inner", "left", "right") and (how, hot_side) != ("left_semi", "left"):
         raise ValueError(f"cannot split a {how} join with the hot rows on the {hot_side}")
     hot_rows, hot_keys = (left, keys) if hot_side == "left" else (right, right_keys or keys)
     if slots is None:
-        slots = Slots(hot_rows, hot_keys, rows_per_slot, max_hot)
+        types = common_types(left, right, keys, right_keys or keys)
+        if types is not None:
+            slots = Slots(hot_rows, hot_keys, rows_per_slot, max_hot, types)
     if not slots:
         return left.join(right, _condition(keys, right_keys), how)
     spread_columns = [F.col(c) for c in spread]

@@ -21,8 +21,8 @@ TEXT_COLUMNS = ["n_chars", "n_words", "n_lines"]
 LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def _labelled_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Size measures of every labelled document; the label is its quality."""
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Size measures of every document."""
     documents = table(spark, sf, "documents").select(
         "doc_id",
         "lang",
@@ -30,8 +30,13 @@ def _labelled_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.size(F.split("text", " ")).cast("double").alias("n_words"),
         F.size(F.split("text", "\n")).cast("double").alias("n_lines"),
     )
+    return fill_nulls(documents, dict.fromkeys(TEXT_COLUMNS, 0.0))
+
+
+def _labelled_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Size measures of every labelled document; the label is its quality."""
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    return fill_nulls(documents.join(labels, "doc_id"), dict.fromkeys(TEXT_COLUMNS, 0.0))
+    return _documents(spark, sf).join(labels, "doc_id")
 
 
 def _embedded(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,7 +163,7 @@ def ml_model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def ml_indexed_forest(spark: SparkSession, sf: str) -> DataFrame:
     """Language of a document from its size measures: index, assemble and classify, reloaded."""
-    train, test = _split(_labelled_documents(spark, sf).drop("label"), "doc_id")
+    train, test = _split(_documents(spark, sf), "doc_id")
     stages = classify.labelled_pipeline("lang", TEXT_COLUMNS, classify.random_forest(trees=20))
     path = scratch_path(spark, "forest")
     classify.save_model(stages.fit(train), path)

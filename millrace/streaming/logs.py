@@ -20,14 +20,16 @@ LINE_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
 def render_line(time: Column, level: Column, message: Column, server_number: Column) -> Column:
-    """One log line; a level shorter than the column is padded, a longer one kept whole."""
+    """One log line; a level shorter than the column is padded, a longer one kept whole. NULL fields are
+    empty text, so that the others keep their places."""
+    level, message = (F.coalesce(field, F.lit("")) for field in (level, message))
     width = F.greatest(F.lit(LEVEL_WIDTH), F.length(level))
     return F.concat_ws(
         SEPARATOR,
-        F.date_format(time, TIME_PATTERN),
+        F.coalesce(F.date_format(time, TIME_PATTERN), F.lit("")),
         F.rpad(level, width, " "),
         message,
-        F.concat(F.lit(SERVER_PREFIX), server_number.cast("string")),
+        F.coalesce(F.concat(F.lit(SERVER_PREFIX), server_number.cast("string")), F.lit("")),
     )
 
 

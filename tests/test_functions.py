@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -154,3 +155,12 @@ def test_nulls(spark):
     assert quality.drop_nulls(df, ["a", "c"]).count() == 1
     filled = quality.fill_nulls(df, {"a": 0, "b": 1.5, "c": "?"})
     assert rows(filled) == [(0, 1.5, "y"), (1, 1.5, "x"), (3, 2.0, "?")]
+
+
+def test_fixed_point_drops_no_digit(spark):
+    df = spark.createDataFrame([(0.001,), (0.002,), (0.003,), (None,)], ["v"])
+    assert df.agg(numbers.exact_avg(F.col("v"), 3), numbers.rounded_avg(F.col("v"), 4, 3)).first() == (0.002, 0.002)
+    for values in ([0.001], [float("nan"), 1.0], [1e17], [float("inf")]):
+        bad = spark.createDataFrame([(v,) for v in values], "v double")
+        with pytest.raises(Exception, match="no number of 2 decimals"):
+            bad.agg(numbers.exact_sum(F.col("v"))).collect()

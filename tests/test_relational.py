@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from millrace.operators import aggregates, joins, ranking, unions
+from millrace.operators import aggregates, joins, quality, ranking, unions
 from millrace.operators.skew import Slots, split_join
 
 BOOKS = [(1, "Scala", 400), (2, "Spark", 500), (3, "Kafka", 300), (5, "Java", 350)]
@@ -260,3 +260,39 @@ def test_having_top_k(spark):
     aggs = [F.avg("r").alias("avg"), F.count("*").alias("n")]
     out = ranking.having_top_k(df, "d", aggs, "n >= 3", [F.desc("avg")], 1)
     assert rows(out) == [("x", 9.0, 3)]
+
+
+TYPES = [
+    ("int", "double"), ("int", "bigint"), ("date", "timestamp"), ("decimal(10,2)", "decimal(12,4)"), ("string", "string"),
+    ("double", "double"), ("int", "string"), ("float", "double"),
+]
+
+
+@pytest.mark.parametrize("kinds", TYPES)
+@pytest.mark.parametrize("n_keys", [1, 2])
+def test_split_join_compares_keys_as_a_join_does(spark, kinds, n_keys):
+    def typed(number, kind):
+        base = f"date'2024-01-01' + int({number})" if kind in ("date", "timestamp") else number
+        return f"cast({base} as {kind})"
+
+    keys = ["k", "j"][:n_keys]
+    left = spark.range(400).selectExpr("id as item", f"{typed('id % 4', kinds[0])} as k", f"{typed('id % 2', kinds[0])} as j")
+    left = left.unionAll(left.selectExpr("item + 1000", "null", "j"))
+    right = spark.range(6).selectExpr(f"{typed('id', kinds[1])} as k", f"{typed('id % 2', kinds[1])} as j", "id as name")
+    if kinds[0] == "double":
+        left = left.unionAll(left.selectExpr("item + 2000", "if(item % 2 = 0, -0.0D, double('NaN'))", "-j"))
+        right = right.unionAll(right.selectExpr("double('NaN')", "j", "name + 10"))
+    # As text, since NaN is not equal to itself.
+    texts = lambda df: [str(r) for r in rows(df)]
+    for how in ("inner", "left", "right", "left_semi"):
+        plain = left.join(right, keys, how)
+        split = split_join(left, right, keys, ["item"], how, rows_per_slot=7)
+        assert split.columns == plain.columns and texts(split) == texts(plain), how
+        if how != "left_semi":
+            turned = split_join(right, left, keys, ["item"], how, "right", rows_per_slot=7)
+            assert texts(turned) == texts(right.join(left, keys, how)), how
+
+
+def test_null_profile_of_dotted_names(spark):
+    df = spark.createDataFrame([(1, None), (None, None)], "`a.b` int, c int")
+    assert rows(quality.null_profile(df)) == [("a.b", 1), ("c", 2)]
