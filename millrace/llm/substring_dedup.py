@@ -208,28 +208,46 @@ def checked(texts: DataFrame, open_spans: DataFrame, window: int) -> DataFrame:
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, READ_BYTES):
-            for doc_id, text_hash, text, spans in zip(*(batch.column(c).to_pylist() for c in (*KEY, "text", "spans"))):
-                words = word_hashes((text or "").encode().split())
-                one = window_hashes(words, window, FACTORS[0])
-                two = window_hashes(mixed(words), window, FACTORS[1])
-                at = np.unique(np.concatenate([np.arange(s["start"], s["start"] + s["windows"]) for s in spans]))
-                yield pa.record_batch(
-                    [
-                        pa.array([doc_id] * len(at), pa.int64()), pa.array([text_hash] * len(at), pa.int64()),
-                        pa.array(at.astype(np.int32)), pa.array(one[at].view(np.int64)), pa.array(two[at].view(np.int64)),
-                    ],
-                    names=[*KEY, "start", "_one", "_two"],
-                )
-
-    schema = "doc_id bigint, _text_hash bigint, start int, _one bigint, _two bigint"
+            yield hashed(batch, window)
+
+    schema = "doc_id bigint, _text_hash bigint, start int, _known boolean, _one bigint, _two bigint"
     met = of_documents(texts, open_spans).mapInArrow(hashes, schema)
     order = ["_one", "_two", *KEY, "start"]
     alike = W.partitionBy("_one", "_two").orderBy(*KEY, "start")
     dealt = met.repartition("_one", "_two").sortWithinPartitions(*order)
-    later = dealt.withColumn("_nth", F.rank().over(alike)).filter("_nth > 1")
+    later = dealt.withColumn("_nth", F.rank().over(alike)).filter(F.col("_known") | (F.col("_nth") > 1))
     return later.select(*KEY, "start", F.lit(1).alias("windows"))
 
 
+def hashed(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
+    """The windows of open phrases of a block. Those that stand earlier in the block are ``_known``
+    and get hashes of their own, so that the shuffle brings each window together once per block."""
+    rows = list(zip(*(batch.column(c).to_pylist() for c in (*KEY, "text", "spans"))))
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    rows = [row for i, row in enumerate(rows) if i == 0 or row[:2] != rows[i - 1][:2]]
+    starts, ones, twos = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for _, _, text, spans in rows:
+        words = word_hashes((text or "").encode().split())
+        at = np.unique(np.concatenate([np.arange(s["start"], s["start"] + s["windows"]) for s in spans]))
+        starts.append(at)
+        ones.append(window_hashes(words, window, FACTORS[0])[at])
+        twos.append(window_hashes(mixed(words), window, FACTORS[1])[at])
+    owner = np.repeat(np.arange(len(rows)), [len(at) for at in starts[1:]])
+    start, one, two = (np.concatenate(x) for x in (starts, ones, twos))
+    order = np.lexsort((np.arange(len(one)), two, one))
+    known = np.zeros(len(one), bool)
+    known[order[1:]] = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
+    own = mixed(owner.astype(np.uint64) * FACTORS[0] + start.astype(np.uint64))
+    one = np.where(known, own, one)
+    return pa.record_batch(
+        [
+            pa.array([rows[i][0] for i in owner], pa.int64()), pa.array([rows[i][1] for i in owner], pa.int64()),
+            pa.array(start.astype(np.int32)), pa.array(known), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)),
+        ],
+        names=[*KEY, "start", "_known", "_one", "_two"],
+    )
+
+
 def by_document(spans: DataFrame) -> DataFrame:
     """A row per document with all its ``spans``."""
     return spans.groupBy(*KEY).agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
