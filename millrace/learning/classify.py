@@ -10,7 +10,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,5 +43,31 @@ def score(model: Model | PipelineModel, df: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def training_history(model) -> DataFrame:
+    """Objective of a fitted logistic model before the first and after each iteration, a row each."""
+    history = [(i, float(value)) for i, value in enumerate(model.summary.objectiveHistory)]
+    return SparkSession.active().createDataFrame(history, "iteration int, objective double")
+
+
+def rules(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Nodes of a saved tree or forest as rows: ``tree``, ``node``, ``feature`` and ``threshold`` of
+    its test (NULL in a leaf), ``left`` (value at most the threshold), ``right``, ``prediction``."""
+    node = F.col("node")
+    saved = spark.read.parquet(f"{path}/data")
+    nodes = saved.select(F.col("treeID").alias("tree"), F.col("nodeData").alias("node"))
+    inner = node["leftChild"] >= 0
+    names = F.array(*[F.lit(c) for c in columns])
+    test = node["split"]
+    return nodes.select(
+        "tree",
+        node["id"].alias("node"),
+        F.when(inner, F.get(names, test["featureIndex"])).alias("feature"),
+        F.when(inner, F.get(test["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"),
+        F.when(inner, node["leftChild"]).alias("left"),
+        F.when(inner, node["rightChild"]).alias("right"),
+        node["prediction"].alias("prediction"),
+    )
+
+
 def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _STEPS = 1_000_000
+# Leading hexadecimal digits of the hash that make the draw.
+_DIGITS = 12
 
 
 def assemble(df: DataFrame, columns: list[str], name: str = "features") -> DataFrame:
@@ -15,7 +17,8 @@ def assemble(df: DataFrame, columns: list[str], name: str = "features") -> DataF
 
 
 def index_labels(df: DataFrame, column: str, name: str = "label") -> DataFrame:
-    """Text labels as numbers, the most frequent first, ties alphabetical."""
+    """Text labels as numbers, the most frequent first, ties alphabetical. The distinct labels become
+    part of a model on the driver: for class labels, not for columns of unbounded variety."""
     return StringIndexer(inputCol=column, outputCol=name).fit(df).transform(df)
 
 
@@ -27,10 +30,13 @@ def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFra
 def hash_split(df: DataFrame, keys: list[str], weights: list[float], seed: int) -> list[DataFrame]:
     """Split by a hash of the keys: disjoint, complete, and the same for any partitioning.
 
+    The draw is the MD5 of seed and keys as text, parted by bars, so any other engine can repeat it.
+
     Copies of a key stay on one side, so no test row has been seen in training. Nothing is cached
     or sorted; each part is a filter.
     """
-    draw = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(_STEPS))
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])), 1, _DIGITS)
+    draw = F.conv(digits, 16, 10).cast("bigint") % _STEPS
     total, reached, parts = sum(weights), 0.0, []
     for weight in weights:
         low, reached = round(reached / total * _STEPS), reached + weight

@@ -14,6 +14,8 @@ from millrace.scratch import materialize
 MAX_ITEMS = 100_000
 # Copies of one item travel in pieces this much smaller than a row, so that parts fill up evenly.
 PIECES = 16
+# Parts of one owner that one task joins.
+PARTS_PER_SLOT = 8
 
 
 def group_count(df: DataFrame, *keys, name: str = "n") -> DataFrame:
@@ -49,12 +51,26 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def pivot_counts(df: DataFrame, index, category: str, values: list[str]) -> DataFrame:
+def pivot_counts(
+    df: DataFrame, index: str, category: str, values: list[str], other: str = "other"
+) -> DataFrame:
     """Rows per index and category, one column per value, 0 where there are none.
 
-    The values are given, so no extra job looks for them.
+    The values are given, so no extra job looks for them. Rows of all other categories, NULL
+    included, are counted in the column ``other``, so every row is in exactly one column.
     """
-    return df.groupBy(index).pivot(category, values).count().na.fill(0, values)
+    if other in values:
+        raise ValueError(f"{other} is one of the values: name the other column")
+    column = F.when(F.col(category).isin(values), F.col(category)).otherwise(F.lit(other))
+    labelled = df.select(index, column.alias("_column"))
+    return labelled.groupBy(index).pivot("_column", [*values, other]).count().na.fill(0, [*values, other])
+
+
+def pivot_top(df: DataFrame, index: str, category: str, k: int, other: str = "other") -> DataFrame:
+    """``pivot_counts`` over the k most frequent categories, in their order; their names, k of them,
+    become columns and so visit the driver."""
+    top = top_values(df.filter(F.col(category).isNotNull()), category, k)
+    return pivot_counts(df, index, category, [row[category] for row in top.collect()], other)
 
 
 def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
@@ -97,11 +113,6 @@ def sum_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key).agg(F.sum(value).alias("total"))
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group; reads the key columns only."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
 def collect_items(
     df: DataFrame,
     keys: list[str],
@@ -115,16 +126,12 @@ def collect_items(
 
     A group of up to ``max_items`` rows comes out as one row with ``part`` 0. A larger one comes out
     as several rows of about ``max_items`` items each, told apart by ``part``, that together hold all
-    its items, so no task and no row ever has to hold a group of unbounded size. The largest group is measured first: if it is small
-    enough, one plain grouping does it.
+    its items, so no task and no row ever has to hold a group of unbounded size. A row is known by its
+    keys and ``part``. Groups of all sizes take the same way.
     """
     rows = df.select(F.struct(*keys).alias("_key"), F.struct(*items).alias("_item"))
-    if largest_group(df, keys) <= max_items:
-        grouped = rows.groupBy("_key").agg(F.collect_list("_item").alias("_items"))
-        part = F.lit(0)
-    else:
-        grouped = _collect_parts(rows, max_items, rows_per_slot, max_hot)
-        part = F.col("_slot")
+    grouped = _collect_parts(rows, max_items, rows_per_slot, max_hot)
+    part = F.col("_slot")
     array = F.sort_array("_items")
     if len(items) == 1:
         array = F.transform(array, lambda item: item[items[0]])
@@ -169,4 +176,5 @@ def nested_documents(
     An owner with more than ``max_items`` details gets several documents, told apart by ``part``.
     """
     arrays = collect_items(details, [key], items, name, max_items, **skew)
-    return owners.join(arrays, key, "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    joined = split_join(owners, arrays, [key], ["part"], "left", "right", rows_per_slot=PARTS_PER_SLOT)
+    return joined.withColumn("part", F.coalesce("part", F.lit(0)))

@@ -187,7 +187,9 @@ def top_n_other_share(spark: SparkSession, sf: str) -> DataFrame:
            count(*) FILTER (o_orderpriority = '2-HIGH') AS "2-HIGH",
            count(*) FILTER (o_orderpriority = '3-MEDIUM') AS "3-MEDIUM",
            count(*) FILTER (o_orderpriority = '4-NOT SPECIFIED') AS "4-NOT SPECIFIED",
-           count(*) FILTER (o_orderpriority = '5-LOW') AS "5-LOW"
+           count(*) FILTER (o_orderpriority = '5-LOW') AS "5-LOW",
+           count(*) FILTER (coalesce(o_orderpriority, '') NOT IN
+                            ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')) AS other
     FROM orders GROUP BY 1
 """)
 def pivot_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -195,6 +197,20 @@ def pivot_counts(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.pivot_counts(orders, "year", "o_orderpriority", PRIORITIES).orderBy("year")
 
 
+@query("""
+    WITH top AS (SELECT event_type FROM events GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 2),
+         days AS (SELECT CAST(dayofmonth(ts) AS INTEGER) AS day, event_type FROM events),
+         named AS (SELECT day, CASE WHEN event_type IN (FROM top) THEN event_type END AS t FROM days)
+    SELECT day, count(t) AS n_top, count(*) - count(t) AS other FROM named GROUP BY day
+""")
+def pivot_top(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per day of the two most frequent types, summed over their columns, and of the rest."""
+    days = table(spark, sf, "events").select(F.dayofmonth("ts").alias("day"), "event_type")
+    wide = aggregates.pivot_top(days, "day", "event_type", 2)
+    top = [F.col(f"`{c}`") for c in wide.columns if c not in ("day", "other")]
+    return wide.select("day", sum(top[1:], top[0]).alias("n_top"), "other")
+
+
 @query("""
     SELECT count(DISTINCT l_partkey) AS n_l_partkey, count(DISTINCT l_suppkey) AS n_l_suppkey,
            count(*) AS n_rows

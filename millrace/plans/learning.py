@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.learning import classify, cluster, features, metrics, recommend
 from millrace.operators.quality import fill_nulls
 from millrace.plans.registry import query
-from millrace.scratch import scratch_path
+from millrace.scratch import materialize, scratch_path
 from millrace.tables import table
 
 SPLIT = [0.8, 0.2]
@@ -64,7 +67,15 @@ def ml_assemble(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query()
+def _drawn(*keys: str) -> str:
+    """The draw of ``hash_split`` in SQL."""
+    text = " || '|' || ".join([f"'{SEED}'", *[f"CAST({key} AS VARCHAR)" for key in keys]])
+    return f"CAST('0x' || substr(md5({text}), 1, 12) AS BIGINT) % 1000000"
+
+
+@query(f"""
+    SELECT o_orderkey, CASE WHEN {_drawn('o_orderkey')} < 800000 THEN 'train' ELSE 'test' END AS side FROM orders
+""")
 def ml_split(spark: SparkSession, sf: str) -> DataFrame:
     """Side of every order, by a hash of its key."""
     train, test = _split(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
@@ -92,6 +103,59 @@ def ml_logistic(spark: SparkSession, sf: str) -> DataFrame:
     return classify.score(model, test, "doc_id", "label")
 
 
+def _facts(*rows: DataFrame) -> DataFrame:
+    """Columns of one-row tables as rows: their names and values."""
+    flat = [
+        row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("fact"), F.col(f"`{c}`").cast("bigint").alias("value")) for c in row.columns])))
+        for row in rows
+    ]
+    return reduce(DataFrame.unionAll, flat)
+
+
+def _bad_rows(scored: DataFrame) -> DataFrame:
+    """Number of scored rows, and of those whose probabilities do not sum to one or whose prediction
+    is not the likeliest class."""
+    p = F.col("probability")
+    total = F.aggregate(p, F.lit(0.0), lambda a, b: a + b)
+    chosen = F.get(p, F.col("prediction").cast("int"))
+    bad = (F.abs(total - 1) > 1e-9) | (chosen < F.array_max(p) - 1e-12)
+    return scored.agg(F.count("*").alias("n_rows"), F.count_if(F.coalesce(bad, F.lit(True))).alias("n_bad"))
+
+
+@query(f"""
+    SELECT (SELECT count(*) FROM documents JOIN labels USING (doc_id) WHERE {_drawn('doc_id')} >= 800000) AS n_rows,
+           0 AS n_bad, 'logistic' AS model
+    UNION ALL
+    SELECT (SELECT count(*) FROM embeddings WHERE {_drawn('vec_id')} >= 800000), 0, unnest(['tree', 'forest'])
+    UNION ALL
+    SELECT (SELECT count(*) FROM documents WHERE {_drawn('doc_id')} >= 800000), 0, 'indexed forest'
+""")
+def ml_score_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """How many held-out rows each classifier scored, and how many scores contradict themselves."""
+    scored = {
+        "logistic": ml_logistic,
+        "tree": ml_decision_tree,
+        "forest": ml_random_forest,
+        "indexed forest": ml_indexed_forest,
+    }
+    facts = [_bad_rows(fn(spark, sf)).withColumn("model", F.lit(name)) for name, fn in scored.items()]
+    return reduce(DataFrame.unionByName, facts)
+
+
+@query("SELECT true AS starts_at_zero, 0 AS n_rises, true AS falls")
+def ml_logistic_history(spark: SparkSession, sf: str) -> DataFrame:
+    """The objective of the fit starts at iteration 0, never rises and ends lower."""
+    model, _ = _logistic(spark, sf)
+    history = classify.training_history(model)
+    before = F.lag("objective").over(W.orderBy("iteration"))
+    steps = history.withColumn("_rises", F.col("objective") > before + 1e-12)
+    return steps.agg(
+        (F.min("iteration") == 0).alias("starts_at_zero"),
+        F.count_if("_rises").alias("n_rises"),
+        (F.min_by("objective", "iteration") > F.max_by("objective", "iteration")).alias("falls"),
+    )
+
+
 @query()
 def ml_logistic_coefficients(spark: SparkSession, sf: str) -> DataFrame:
     """One row per feature, and one for the intercept."""
@@ -140,6 +204,20 @@ def ml_decision_tree(spark: SparkSession, sf: str) -> DataFrame:
     return classify.score(classify.decision_tree().fit(train), test, "vec_id", "label")
 
 
+@query("SELECT unnest([0, 1, 2]) AS tree, 0 AS n_open, 0 AS n_astray")
+def ml_forest_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules of a forest by tree: inner nodes without a test, and children that do not exist."""
+    train, _ = _split(_embedded(spark, sf), "vec_id")
+    path, width = scratch_path(spark, "forest"), len(train.first()["features"])
+    classify.save_model(classify.random_forest(trees=3).fit(train), path)
+    nodes = classify.rules(spark, path, [f"e{i}" for i in range(width)])
+    children = nodes.select("tree", F.explode(F.array("left", "right")).alias("node")).filter("node IS NOT NULL")
+    astray = children.join(nodes.select("tree", "node"), ["tree", "node"], "left_anti").groupBy("tree").count()
+    unfinished = F.col("left").isNotNull() & (F.col("feature").isNull() | F.col("threshold").isNull())
+    found = nodes.groupBy("tree").agg(F.count_if(unfinished).alias("n_open"))
+    return found.join(astray, "tree", "left").select("tree", "n_open", F.coalesce("count", F.lit(0)).alias("n_astray"))
+
+
 @query()
 def ml_random_forest(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split(_embedded(spark, sf), "vec_id")
@@ -160,6 +238,19 @@ def ml_model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("vec_id", "prediction").join(placed, "vec_id")
 
 
+@query(f"SELECT count(*) AS n_rows, 0 AS n_differ FROM embeddings WHERE {_drawn('vec_id')} >= 800000")
+def ml_reload_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that a saved and loaded tree scores differently from the tree itself."""
+    train, test = _split(_embedded(spark, sf), "vec_id")
+    model, path = classify.decision_tree().fit(train), scratch_path(spark, "tree")
+    classify.save_model(model, path)
+    mine = classify.score(model, test, "vec_id")
+    again = classify.score(DecisionTreeClassificationModel.load(path), test, "vec_id")
+    again = again.select("vec_id", F.col("prediction").alias("_p"), F.col("probability").alias("_q"))
+    same = (F.col("prediction") == F.col("_p")) & (F.col("probability") == F.col("_q"))
+    return mine.join(again, "vec_id").agg(F.count("*").alias("n_rows"), F.count_if(~same).alias("n_differ"))
+
+
 @query()
 def ml_indexed_forest(spark: SparkSession, sf: str) -> DataFrame:
     """Language of a document from its size measures: index, assemble and classify, reloaded."""
@@ -187,7 +278,9 @@ def ml_compare_models(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ratings(spark: SparkSession, sf: str) -> DataFrame:
-    """Ratings of parts by customers, from the quantities they ordered; one per pair."""
+    """Ratings of parts by customers, from the quantities they ordered; one per pair. Keys are 32-bit
+    numbers, as the factorization asks for; wider ones need dense ids first. Written once, since a fit
+    reads its ratings more than once."""
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("int").alias("user_id"))
     lines = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
@@ -195,7 +288,7 @@ def _ratings(spark: SparkSession, sf: str) -> DataFrame:
         F.least(F.lit(5.0), 1 + F.floor(F.col("l_quantity") / 10)).alias("rating"),
     )
     pairs = lines.join(orders, "o_orderkey").groupBy("user_id", "item_id")
-    return pairs.agg(F.avg("rating").cast("float").alias("rating"))
+    return materialize(pairs.agg(F.avg("rating").cast("float").alias("rating")), "ratings")
 
 
 @query()
@@ -218,6 +311,27 @@ def als_recommend_titles(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.recommend_titles(model, titles, "user_id", "item_id", "title")
 
 
+@query("""
+    SELECT 'users' AS fact, count(DISTINCT o_custkey) AS value FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    UNION ALL SELECT * FROM (VALUES ('most items', 5), ('copies', 0), ('beats mean', 1))
+""")
+def als_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user gets five different items, and the fit is nearer to its ratings than their mean is."""
+    ratings = _ratings(spark, sf)
+    model = recommend.fit_als(ratings, "user_id", "item_id", "rating")
+    best = materialize(model.recommendForAllUsers(5), "best")
+    items = F.transform("recommendations", lambda r: r["item_id"])
+    users = best.select(F.size(items).alias("n"), F.size(F.array_distinct(items)).alias("_distinct"))
+    error = F.col("prediction") - F.col("rating")
+    beats = F.sqrt(F.avg(error * error)) < F.stddev_pop("rating")
+    return _facts(
+        users.agg(
+            F.count("*").alias("users"), F.max("n").alias("most items"), F.sum(F.col("n") - F.col("_distinct")).alias("copies")
+        ),
+        model.transform(ratings).agg(beats.alias("beats mean")),
+    )
+
+
 @query("""
     SELECT round(sqrt(avg((l_quantity * 1500 - l_extendedprice) * (l_quantity * 1500 - l_extendedprice))), 4) AS rmse
     FROM lineitem
@@ -236,6 +350,39 @@ def kmeans_assign(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.fit_kmeans(rows, 4).transform(rows).select("vec_id", "prediction")
 
 
+@query("""
+    SELECT 'rows' AS fact, count(*) AS value FROM embeddings
+    UNION ALL SELECT * FROM (VALUES ('clusters', 4), ('misplaced', 0), ('far from means', 0))
+""")
+def kmeans_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors that are nearer to another center than to their own, and whether the sum of squares is
+    about that around the means of the clusters (the fit may stop a step before)."""
+    rows = _embedded(spark, sf)
+    model = cluster.fit_kmeans(rows, 4)
+    placed = model.transform(rows).select(vector_to_array("features").alias("v"), "prediction")
+    centers = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    squares = lambda a, b: F.aggregate(
+        F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x
+    )
+    away = F.transform(centers, lambda c: squares(F.col("v"), c))
+    own = F.get("_away", F.col("prediction"))
+    far = placed.select("prediction", "v", away.alias("_away")).select(
+        "prediction", "v", own.alias("_own"), F.array_min("_away").alias("_least")
+    )
+    entries = far.select("prediction", F.posexplode("v").alias("_i", "x"))
+    means = entries.groupBy("prediction", "_i").agg(F.avg("x").alias("_mean"))
+    least = entries.join(means, ["prediction", "_i"]).agg(F.sum((F.col("x") - F.col("_mean")) ** 2).alias("_sum"))
+    sums = far.agg(F.sum("_own").alias("_sum")).unionAll(least)
+    return _facts(
+        far.agg(
+            F.count("*").alias("rows"),
+            F.countDistinct("prediction").alias("clusters"),
+            F.count_if(F.col("_own") > F.col("_least") + 1e-9).alias("misplaced"),
+        ),
+        sums.agg((F.max("_sum") > F.min("_sum") * 1.02 + 1e-9).alias("far from means")),
+    )
+
+
 @query()
 def kmeans_silhouette(spark: SparkSession, sf: str) -> DataFrame:
     rows = _embedded(spark, sf)

@@ -11,7 +11,7 @@ from millrace.scratch import scratch_path
 from millrace.session import partitions_for
 from millrace.sources.streams import stream_files
 from millrace.streaming.logs import LINE_SCHEMA, parse_lines, summarize
-from millrace.streaming.run import finish, read_state, to_parquet, to_state
+from millrace.streaming.run import finish, read_latest, read_state, to_parquet, to_state, to_versions
 from millrace.streaming.wordcount import word_counts
 from millrace.tables import table
 
@@ -43,15 +43,16 @@ def stream_log_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    SELECT 'server-node-' || (user_id % 5 + 1) AS server, upper(event_type) AS level, count(*) AS n
-    FROM events GROUP BY 1, 2
+    SELECT server, level, count(*) AS n, CAST(row_number() OVER (ORDER BY server, level) AS INTEGER) AS position
+    FROM (SELECT 'server-node-' || (user_id % 5 + 1) AS server, upper(event_type) AS level FROM events)
+    GROUP BY server, level
 """)
 def stream_log_summary(spark: SparkSession, sf: str) -> DataFrame:
-    checkpoint = scratch_path(spark, "checkpoint")
+    """Running summary, sorted; the version that the last trigger wrote."""
+    out, checkpoint = scratch_path(spark, "summary"), scratch_path(spark, "checkpoint")
     summary = summarize(_parsed(spark, _log_folder(spark, sf)))
-    partitions = partitions_for(spark, table(spark, sf, "events").count())
-    finish(to_state(summary.orderBy("server", "level"), checkpoint, partitions=partitions))
-    return read_state(spark, checkpoint).withColumnRenamed("count", "n")
+    finish(to_versions(summary, out, checkpoint, ["server", "level"]))
+    return read_latest(spark, out).withColumnRenamed("count", "n")
 
 
 @query(LOG_FIELDS)

@@ -20,6 +20,11 @@ ADAPTIVE = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Partitions that a shuffle starts with where the caller names no number; adaptive execution merges
+# them to the advised size, but never divides an aggregate's.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+STARTS_WITH = 8_000
+
 # Rows of a partition: few enough to sort in memory; small data is still spread over all cores.
 ROWS_PER_PARTITION = 1_000_000
 LEAST_ROWS = 50_000
@@ -36,9 +41,9 @@ def build_session(
 ) -> SparkSession:
     """Get or create a session.
 
-    ``master`` stays unset on a managed cluster, where the launcher names it. ``shuffle_partitions``
-    is unset by default: the cluster's own value, coalesced by adaptive execution, holds at any
-    scale. ``jars`` and ``packages`` load connectors; ``py_files`` ships helper modules to workers.
+    ``master`` stays unset on a managed cluster, where the launcher names it. Without
+    ``shuffle_partitions`` a shuffle starts with ``STARTS_WITH`` partitions, which adaptive execution
+    merges; set ``INITIAL_PARTITIONS`` in ``conf`` where a shuffle holds far more than a terabyte. ``jars`` and ``packages`` load connectors; ``py_files`` ships helper modules to workers.
     """
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
@@ -52,6 +57,8 @@ def build_session(
         settings["spark.submit.pyFiles"] = py_files
     if shuffle_partitions is not None:
         settings[SHUFFLE_PARTITIONS] = str(shuffle_partitions)
+    else:
+        settings[INITIAL_PARTITIONS] = str(STARTS_WITH)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -7,6 +7,8 @@ folder, it goes on where it stopped.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.session import SHUFFLE_PARTITIONS, session_settings
@@ -70,7 +72,7 @@ def to_parquet(
 def to_state(
     df: DataFrame,
     checkpoint: str,
-    mode: str = "complete",
+    mode: str = "update",
     every: str | None = None,
     name: str | None = None,
     partitions: int | None = None,
@@ -78,7 +80,7 @@ def to_state(
     """Keep a running aggregate as the query's own state, to be read with ``read_state``.
 
     The whole result stays distributed and takes no second copy; the sink discards what each trigger
-    emits. State may outgrow memory: it is kept in RocksDB. ``partitions`` is fixed by the first
+    emits, by default the changed rows only. State may outgrow memory: it is kept in RocksDB. ``partitions`` is fixed by the first
     start for the life of the checkpoint; by default it is the session's. A query takes its settings
     when it starts, so the session's own are put back afterwards.
     """
@@ -89,6 +91,36 @@ def to_state(
         return _start(df, "noop", mode, checkpoint, every, name)
 
 
+def to_versions(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    order: list[str],
+    every: str | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Write the complete result of each trigger as a table of its own, a ``version`` below ``path``,
+    with the ``position`` of each row by ``order``. A trigger that runs again writes its version again.
+
+    For small results, such as a summary by a few categories: positions are counted in one task.
+    """
+
+    def write(batch: DataFrame, version: int) -> None:
+        placed = batch.withColumn("position", F.row_number().over(W.orderBy(*order)))
+        placed.write.mode("overwrite").parquet(f"{path}/version={version}")
+
+    writer = df.writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return (writer.queryName(name) if name is not None else writer).start()
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The last version that ``to_versions`` wrote."""
+    versions = spark.read.parquet(path)
+    last = versions.agg(F.max("version")).first()[0]
+    return versions.filter(F.col("version") == F.lit(last)).drop("version")
+
+
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Current result of a running aggregate: its keys and values, straight from the state store."""
     state = spark.read.format("statestore").load(checkpoint)
