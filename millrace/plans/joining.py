@@ -81,14 +81,21 @@ def join_right_using(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rentals(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as rentals: keys inside JSON text, names inside the JSON text of three dimensions."""
-    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    """Order lines as rentals of a supplier's car at an agency of the customer's nation: keys inside JSON
+    text, names inside the JSON text of three dimensions."""
+    customer = table(spark, sf, "customer")
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    nations = customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     keys = F.struct(
         F.col("o_custkey").alias("customer_id"),
-        F.dayofmonth("o_orderdate").alias("car_id"),
-        F.month("o_orderdate").alias("agency_id"),
+        F.col("l_suppkey").alias("car_id"),
+        F.col("c_nationkey").alias("agency_id"),
+    )
+    fact = lines.join(orders, "l_orderkey").join(nations, "o_custkey").select(
+        (F.col("l_orderkey").cast("bigint") * 10 + F.col("l_linenumber")).alias("rental_id"),
+        F.to_json(keys).alias("rental_info"),
     )
-    fact = orders.select(F.col("o_orderkey").alias("rental_id"), F.to_json(keys).alias("rental_info"))
     customers = customer.select(
         F.col("c_custkey").alias("customer_id"),
         F.to_json(F.struct(F.col("c_name").alias("customer_name"))).alias("customer_info"),
@@ -114,11 +121,13 @@ def rentals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 RENTALS = """
-    SELECT o_orderkey AS rental_id, s_name AS car_name, n_name AS agency_name, c_name AS customer_name
-    FROM orders
-    JOIN supplier ON s_suppkey = day(o_orderdate)
-    JOIN nation ON n_nationkey = month(o_orderdate)
+    SELECT CAST(l_orderkey AS BIGINT) * 10 + l_linenumber AS rental_id, s_name AS car_name, n_name AS agency_name,
+           c_name AS customer_name
+    FROM lineitem
+    JOIN orders ON o_orderkey = l_orderkey
     JOIN customer ON c_custkey = o_custkey
+    JOIN supplier ON s_suppkey = l_suppkey
+    JOIN nation ON n_nationkey = c_nationkey
 """
 
 
