@@ -26,8 +26,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that stand in ten documents or more; ``n_chars`` follows."""
-    kept = apply_bitmaps(docs, line_bitmaps(docs, min_docs=10, keep_first=False))
+    """Documents without the lines that stand in ten documents or more, but for the first place of each
+    line: of ten copies of a text the first one keeps it. ``n_chars`` follows."""
+    kept = apply_bitmaps(docs, line_bitmaps(docs, min_docs=10, keep_first=True))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)

@@ -389,3 +389,16 @@ def test_empty_tables(docs):
     assert simhash.near_duplicates(none).count() == 0
     assert quality.judged(none).count() == packing.pack_documents(none, path).count() == 0
     assert token_counts.with_trees(none, path).count() == 0
+
+
+def test_pipeline_keeps_one_of_many_copies(spark):
+    """A text of ten copies or more loses its lines in all copies but one, which reaches packing."""
+    import corpus_pipeline
+
+    texts = [f"first line of story {k} about {'abcde'[k]}\nits second line {k}\nand the end of it {k}" for k in range(3)]
+    rows = [(100 * k + i, t) for k, t in enumerate(texts) for i in range(12)] + [(900, "a text that stands alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        docs = stage(spark, docs, SF)
+    kept = [r.text for r in docs.collect()]
+    assert all(kept.count(t) == 1 for t in [*texts, "a text that stands alone"])
