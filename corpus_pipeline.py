@@ -13,6 +13,7 @@ from millrace.llm.decontamination import without_leaks
 from millrace.llm.encoding import vocabulary
 from millrace.llm.language import fit, predict
 from millrace.llm.line_dedup import apply_bitmaps, line_bitmaps
+from millrace.llm.near_copies import one_of_near
 from millrace.llm.packing import pack_documents
 from millrace.llm.simhash import one_of_each
 from millrace.scratch import materialize
@@ -35,8 +36,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
-    return one_of_each(docs).select(*docs.columns)
+    """One document of each class of near-duplicates, by fingerprint, and of those one of each class
+    of near copies, by the shingles they share."""
+    return one_of_near(materialize(one_of_each(docs), "distinct")).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

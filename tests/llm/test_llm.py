@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import oracle
 from millrace.llm import (
-    decontamination, encoding, language, line_dedup, packing, pii, quality, simhash, substring_dedup,
+    decontamination, encoding, language, line_dedup, near_copies, packing, pii, quality, simhash, substring_dedup,
     token_counts, token_files,
 )
 from millrace.llm.components import components
@@ -402,3 +402,28 @@ def test_pipeline_keeps_one_of_many_copies(spark):
         docs = stage(spark, docs, SF)
     kept = [r.text for r in docs.collect()]
     assert all(kept.count(t) == 1 for t in [*texts, "a text that stands alone"])
+
+
+def test_near_dedup_drops_near_copies(spark):
+    """Of near copies that differ in more bits than simhash links, one is left, and nothing else goes."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    rows, sets = [], {}
+    for group in range(12):
+        text = [f"w{rng.randint(0, 5000)}" for _ in range(rng.randint(60, 200))]
+        for k in range(6):
+            w = list(text)
+            for at in rng.sample(range(len(w)), k * len(w) // 60):
+                w[at] = "other"
+            rows.append((100 * group + k, " ".join(w)))
+    rows += [(None, rows[0][1] + " tail"), (5000, None), (5001, "two words"), (5002, "two words more")]
+    for i, t in rows:
+        w = words(t)
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, min(len(w), 1)))}
+    jaccard = lambda a, b: len(a & b) / max(len(a | b), 1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()]
+    assert not [(a, b) for a in kept for b in kept if a != b and jaccard(sets[a], sets[b]) >= near_copies.SHARE]
+    assert all(any(jaccard(sets[a], sets[b]) >= near_copies.SHARE for b in sets if b != a) for a in sets if a not in kept)
+    assert {100 * g for g in range(12)} | {5000, 5001, 5002} <= set(kept) and None not in kept
