@@ -1,7 +1,10 @@
 """Benchmark decontamination by templates.
 
-Numbers, units behind numbers, and names (capitalized words inside a sentence) become typed
-placeholders; the rest is lower-cased words. Windows of ``WINDOW`` template words of all documents meet those of the
+Numbers, units behind numbers, and names become typed placeholders; the rest is lower-cased words.
+White space is one blank before that, so line breaks do not matter. Each text has a template in three
+styles: names are capitalized words inside a sentence; capitalized words anywhere, so that a name at the
+start of a sentence can change too; or nothing, in lower case, so that copies in other case are found.
+What leaks in one style is a leak. Windows of ``WINDOW`` template words of all documents meet those of the
 benchmark in a hash join: first at every few words, which finds every document that can hold the
 share asked for, then at every word of the documents found. What the placeholders stood for is compared on the hits alone: along one
 alignment of an item with a document every value of the item must stand for one value of the
@@ -16,6 +19,8 @@ NULL id is an id like any other. Empty tables give no rows; other columns are ig
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,16 +38,23 @@ UNIT_WORDS = (
     "hours? hrs? h min minutes? sec seconds? s days? weeks? months? years? dollars? euros? cents? percent degrees? % € \\$"
 ).split()
 UNITS = rf"{NUMBER} *({'|'.join(UNIT_WORDS)})(?![\p{{L}}\p{{N}}])"
+SPACES = r"[\s\p{Z}]+"
 NAMES = r" (?<=[\p{Ll}0-9,;\ue000\ue001] )(\p{Lu}[\p{Ll}'’-]+(?: \p{Lu}[\p{Ll}'’-]+)*)"
+ANYWHERE = r"(?<![\p{L}\p{N}])(\p{Lu}(?=['’]?\p{L}?\p{Ll})[\p{L}'’-]+(?: \p{Lu}(?=['’]?\p{L}?\p{Ll})[\p{L}'’-]+)*)"
+# What is a name, by style.
+STYLES = {"inside": NAMES, "anywhere": ANYWHERE, "none": None}
 BETWEEN = r"[^\p{L}\p{N}\ue000-\ue002]+"
 
 
-def _steps() -> tuple[Column, ...]:
+def _steps(style: str) -> tuple[Column, ...]:
     """The text, then with numbers, units and names replaced, one after the other."""
-    plain = text_of()
+    plain = F.regexp_replace(text_of(), SPACES, " ")
+    names = STYLES[style]
+    if names is None:
+        plain = F.lower(plain)
     numbered = F.regexp_replace(plain, NUMBERS, f" {NUMBER} ")
     measured = F.when(F.contains(numbered, F.lit(NUMBER)), F.regexp_replace(numbered, UNITS, f"{NUMBER} {UNIT} ")).otherwise(numbered)
-    return plain, numbered, measured, F.regexp_replace(measured, NAMES, f" {NAME} ")
+    return plain, numbered, measured, F.regexp_replace(measured, names, f" {NAME} ") if names else measured
 
 
 def template(named: Column) -> Column:
@@ -50,10 +62,10 @@ def template(named: Column) -> Column:
     return F.array_remove(F.split(F.lower(named), BETWEEN, -1), "")
 
 
-def windows(rows: DataFrame, window: int, stride: int = 1) -> DataFrame:
+def windows(rows: DataFrame, window: int, stride: int = 1, style: str = "inside") -> DataFrame:
     """Windows of the templates, from every ``stride``-th word on: the columns of KEY, ``at``, two
     hashes of the window's words, and ``_n``, the words of the template."""
-    words = rows.select(*KEY, template(_steps()[-1]).alias("_words"))
+    words = rows.select(*KEY, template(_steps(style)[-1]).alias("_words"))
     # No filter on the size: it would be pushed below and make the template a second time.
     last = F.size("_words") - window
     starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(stride)))
@@ -83,14 +95,15 @@ def _valued(kind: str, places: Column) -> Column:
     )
 
 
-def slots(rows: DataFrame) -> DataFrame:
+def slots(rows: DataFrame, style: str = "inside") -> DataFrame:
     """What each placeholder of the templates stands for: the columns of KEY, ``at`` and ``value``."""
-    plain, numbered, measured, named = _steps()
+    plain, numbered, measured, named = _steps(style)
     kinds = {
         NUMBER: F.regexp_extract_all(plain, F.lit(NUMBERS), F.lit(0)),
         UNIT: F.regexp_extract_all(numbered, F.lit(UNITS), F.lit(1)),
-        NAME: F.regexp_extract_all(measured, F.lit(NAMES), F.lit(1)),
     }
+    if STYLES[style]:
+        kinds[NAME] = F.regexp_extract_all(measured, F.lit(STYLES[style]), F.lit(1))
     words = rows.select(*KEY, template(named).alias("_words"), *[v.alias(k) for k, v in kinds.items()])
     places = lambda kind: F.filter(
         F.transform("_words", lambda word, i: F.when(word == kind, i)), lambda i: i.isNotNull()
@@ -107,10 +120,25 @@ def leaks(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE
 ) -> DataFrame:
     """``doc_id``, ``_text_hash``, ``item_id``, ``n_windows`` of the item and ``n_matched`` of them in
-    the document, for every document and item it leaks."""
+    the document, for every document and item it leaks, by the style that matches most."""
     items = items_of(benchmark)
+    found = reduce(DataFrame.unionAll, [_leaks(docs, items, window, share, style) for style in STYLES])
+    part = F.col("n_matched") / F.col("n_windows")
+    best = found.groupBy(*KEY, "item_id", "_item_hash").agg(
+        F.max(F.struct(part.alias("_part"), "n_windows", "n_matched")).alias("_best")
+    )
+    return best.select(*KEY, "item_id", "_best.n_windows", "_best.n_matched")
+
+
+def _leaks(docs: DataFrame, items: DataFrame, window: int, share: float, style: str) -> DataFrame:
+    """The same in one style, with ``_item_hash``."""
+    if style == "anywhere":
+        # Rows of names alone would match any others.
+        words = template(_steps(style)[-1])
+        kept = F.size(F.filter(words, lambda w: ~w.isin(NUMBER, UNIT, NAME)))
+        items = items.filter(2 * kept > F.size(words))
     of_item = {"doc_id": "item_id", "_text_hash": "_item_hash", "at": "_item_at"}
-    item_windows = windows(items, window).withColumnsRenamed(of_item)
+    item_windows = windows(items, window, style=style).withColumnsRenamed(of_item)
     documents = keyed(docs)
     # Documents that hold a window of some item at all, then all windows of those.
     stride = stride_for(share)
@@ -120,19 +148,19 @@ def leaks(
         steps.append((1, item_windows.filter(~long)))
     touched = documents.select(*KEY).limit(0)
     for step, some in steps:
-        rows = windows(documents, window, step).select(*KEY, "_h1", "_h2")
+        rows = windows(documents, window, step, style).select(*KEY, "_h1", "_h2")
         touched = touched.unionAll(
             rows.join(some.select("_h1", "_h2").distinct(), ["_h1", "_h2"], "left_semi").select(*KEY)
         )
     touched = materialize(touched.distinct(), "touched")
-    met = windows(of_documents(documents, touched).distinct(), window).drop("_n")
+    met = windows(of_documents(documents, touched).distinct(), window, style=style).drop("_n")
     met = met.join(item_windows.drop("_n"), ["_h1", "_h2"])
     hits = met.select(
         *KEY, "at", "item_id", "_item_hash", "_item_at", (F.col("at") - F.col("_item_at")).alias("_shift")
     ).distinct()
     hits = materialize(hits, "hits")
     # Slots inside hits, on both sides. Rows without a partner have no placeholder there.
-    item_slots = slots(items).withColumnsRenamed(of_item | {"value": "_item_value"})
+    item_slots = slots(items, style).withColumnsRenamed(of_item | {"value": "_item_value"})
     steps = F.explode(F.sequence(F.lit(0), F.lit(window - 1)))
     match = [*KEY, "item_id", "_item_hash", "_shift"]
     inside = hits.select(*match, F.col("_item_at").alias("_window"), steps.alias("_k")).withColumn(
@@ -143,7 +171,7 @@ def leaks(
     )
     filled = materialize(filled, "slots")
     with_slots = of_documents(documents, filled.select(*KEY).distinct())
-    compared = matched(filled, slots(with_slots.distinct()), [*KEY, "at"])
+    compared = matched(filled, slots(with_slots.distinct(), style), [*KEY, "at"])
     values = compared.groupBy(*match, "_item_value").agg((F.min("value") != F.max("value")).alias("_mixed"))
     mixed = matched(compared, values.filter("_mixed"), [*match, "_item_value"], "left_semi")
     bad = mixed.select(*match, F.col("_window").alias("_item_at")).distinct()
@@ -153,7 +181,7 @@ def leaks(
     return (
         matched(found, sizes, ["item_id", "_item_hash"])
         .filter(F.col("n_matched") >= share * F.col("n_windows"))
-        .select(*KEY, "item_id", "n_windows", "n_matched")
+        .select(*KEY, "item_id", "_item_hash", "n_windows", "n_matched")
     )
 
 

@@ -427,3 +427,17 @@ def test_near_dedup_drops_near_copies(spark):
     assert not [(a, b) for a in kept for b in kept if a != b and jaccard(sets[a], sets[b]) >= near_copies.SHARE]
     assert all(any(jaccard(sets[a], sets[b]) >= near_copies.SHARE for b in sets if b != a) for a in sets if a not in kept)
     assert {100 * g for g in range(12)} | {5000, 5001, 5002} <= set(kept) and None not in kept
+
+
+def test_decontamination_names_at_any_place_and_case(spark):
+    item = "Anna has 12 apples. Anna gives 5 apples to Tom. How many apples does Anna have left?"
+    renamed = item.replace("Anna", "Maria").replace("Tom", "Bob").replace("12", "30")
+    mixed = renamed.replace("Maria gives", "Peter gives")
+    texts = [
+        renamed, "Before that. " + renamed + " And more.", renamed.replace(" ", "\n"), ITEM.replace(" ", "\n  "), ITEM.lower(), ITEM.upper(),
+        item.lower(), item.upper(), mixed, "Nobody here. Nothing Else. Tom and Anna, Bob and Maria. They have 12 and 5.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, ITEM)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, items).collect()}
+    assert got == {(0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 1), (7, 1)}
