@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.decontamination import leaks
+from millrace.llm.common import text_of, words_of
 from millrace.llm.encoding import vocabulary
 from millrace.llm.language import fit, held_out, predict
 from millrace.llm.line_dedup import apply_bitmaps, line_bitmaps
 from millrace.llm.packing import pack_documents
+from millrace.llm.periodic_runs import collapse_runs
 from millrace.llm.pii import KINDS, personal_data, written
 from millrace.llm.quality import judged
 from millrace.llm.simhash import near_duplicates
@@ -148,3 +150,39 @@ def op10_token_counts(spark, sf_dir):
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("edited_sha256"),
         F.col("n_encoded").alias("chars_encoded"),
     )
+
+
+def looped(doc_id: Column) -> Column:
+    """The text, for one document in ten with a stretch up to its end replaced by repetitions of the
+    words that it starts with."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = words_of(text_of())
+    n = F.size(words)
+    first = (g % n).cast("int")
+    period = (F.lit(1) + F.floor((n - first) / (F.lit(3) + g % 8))).cast("int")
+    times = F.ceil((n - first) / period).cast("int")
+    looping = F.flatten(F.array_repeat(F.slice(words, first + 1, period), times))
+    turned = F.concat(F.slice(words, F.lit(1), first), F.slice(looping, F.lit(1), n - first))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(turned, " ")).otherwise(F.col("text"))
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    """Runs of repeating words in all documents, one in ten of which is made to end in a loop, and
+    the texts without the repetitions."""
+    docs = table(spark, sf_dir, "documents")
+    found = collapse_runs(docs.select("doc_id", looped(F.col("doc_id")).alias("text")))
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("_s"), (-r["period"]).alias("_p")))
+    longest = F.array_max(order)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.withColumn("_longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("_longest._s")).alias("start"),
+        F.col("_longest.length").alias("length"),
+        (-F.col("_longest._p")).alias("period"),
+        F.floor(1000 * F.col("_longest.length") / -F.col("_longest._p")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
