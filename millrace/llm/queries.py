@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.decontamination import leaks
+from millrace.llm.collocations import collocations
 from millrace.llm.common import text_of, words_of
 from millrace.llm.encoding import vocabulary
 from millrace.llm.language import fit, held_out, predict
@@ -186,3 +187,51 @@ def op12_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
         F.sha2("text", 256).alias("collapsed_sha256"),
     )
+
+
+@query(
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ),
+    worded AS (
+        SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
+    ),
+    places AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded),
+    phrases AS (
+        SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase
+        FROM places, (SELECT unnest(range(1, 6)) AS k) WHERE i + k - 1 <= len(words)
+    ),
+    counts AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM phrases GROUP BY ALL),
+    totals AS (SELECT lang, sum(f)::HUGEINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS words FROM counts WHERE k >= 2 AND f >= 100),
+    cuts AS (
+        SELECT lang, phrase, a, c, array_to_string(words[1 : c], ' ') AS one, array_to_string(words[c + 1 :], ' ') AS other
+        FROM (SELECT *, unnest(range(1, size)) AS c FROM candidates)
+    ),
+    scored AS (
+        SELECT cuts.lang, cuts.phrase, a, c, x.f AS l, y.f AS r, n, (1000 * a * n) // (x.f * y.f) AS score
+        FROM cuts JOIN counts x ON x.lang = cuts.lang AND x.phrase = one
+        JOIN counts y ON y.lang = cuts.lang AND y.phrase = other JOIN totals ON totals.lang = cuts.lang
+    ),
+    weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+    inner_phrases AS (
+        SELECT lang, a, array_to_string(words[i : i + k - 1], ' ') AS phrase
+        FROM (SELECT *, unnest(range(1, size)) AS i FROM candidates), (SELECT unnest(range(2, 5)) AS k)
+        WHERE i + k - 1 <= size AND k < size
+    ),
+    kept AS (
+        SELECT * FROM weakest w WHERE NOT EXISTS (
+            SELECT 1 FROM inner_phrases p WHERE p.lang = w.lang AND p.phrase = w.phrase AND 100 * p.a >= 100 * w.a)
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+           phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+    FROM kept QUALIFY rank <= 2000
+    """
+)
+def op13_collocations(spark, sf_dir):
+    """The 2,000 collocations of each language that score highest."""
+    return collocations(table(spark, sf_dir, "documents"))
