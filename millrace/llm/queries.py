@@ -11,6 +11,7 @@ from millrace.llm.decontamination import leaks
 from millrace.llm.collocations import collocations
 from millrace.llm.common import text_of, words_of
 from millrace.llm.encoding import vocabulary
+from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.language import fit, held_out, predict
 from millrace.llm.line_dedup import apply_bitmaps, line_bitmaps
 from millrace.llm.packing import pack_documents
@@ -153,6 +154,19 @@ def op10_token_counts(spark, sf_dir):
     )
 
 
+@query(
+    """
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """
+)
+def op11_exact_dedup(spark, sf_dir):
+    """All documents with the one that stays of their equals."""
+    found = exact_duplicates(spark, f"{sf_dir}/documents.parquet", scratch_path(spark, "met-texts"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def looped(doc_id: Column) -> Column:
     """The text, for one document in ten with a stretch up to its end replaced by repetitions of the
     words that it starts with."""
