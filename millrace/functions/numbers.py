@@ -1,4 +1,4 @@
-"""Numeric columns: buckets, scores, and sums that do not depend on row order."""
+"""Numeric columns: buckets, scores and sums of one row."""
 
 from __future__ import annotations
 
@@ -28,37 +28,6 @@ def in_bucket(rules: list[tuple[Column, str]], label: str) -> Column:
     return holds
 
 
-def _fixed(column: Column, scale: int) -> Column:
-    """The value in fixed point. One that has more digits, is too large, infinite or NaN is an error, so
-    no digit is ever dropped unseen; the last places of binary fractions are none."""
-    value = column.cast("double")
-    fixed = column.try_cast(f"decimal(18,{scale})")
-    near = F.abs(fixed.cast("double") - value) <= F.greatest(F.lit(1.0), F.abs(value)) * 1e-12
-    problem = F.concat(F.lit(f"no number of {scale} decimals: "), column.cast("string"))
-    return F.when(column.isNull() | F.coalesce(near, F.lit(False)), fixed).otherwise(
-        F.raise_error(problem).cast(f"decimal(18,{scale})")
-    )
-
-
-def exact_sum(column: Column, scale: int = 2) -> Column:
-    """Sum in fixed point of ``scale`` decimals, returned as double.
-
-    Doubles add up differently in every task order; fixed point gives the same total on every run,
-    after a retry and for any partitioning. Values with more decimals end the job: name their scale,
-    or use ``sum``.
-    """
-    return F.sum(_fixed(column, scale)).cast("double")
-
-
-def exact_avg(column: Column, scale: int = 2) -> Column:
-    return exact_sum(column, scale) / F.count(column)
-
-
-def rounded_avg(column: Column, digits: int = 2, scale: int = 2) -> Column:
-    """Average rounded half up in fixed point: a true half is never lost to binary fractions."""
-    return F.round(F.sum(_fixed(column, scale)) / F.count(column), digits).cast("double")
-
-
 def weighted_score(rating: Column, reviews: Column) -> Column:
     """Rating weighted by the natural logarithm of the number of reviews (not rounded)."""
     return rating * F.log(reviews)

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import exact_avg, rounded_avg
 from millrace.operators.skew import ROWS_PER_SLOT, split_join
+from millrace.operators.totals import exact_totals, rounded
 from millrace.scratch import materialize
 
 MAX_ITEMS = 100_000
@@ -24,19 +24,17 @@ def group_count(df: DataFrame, *keys, name: str = "n") -> DataFrame:
 
 def rating_stats(df: DataFrame, key: str, score: str, when: str) -> DataFrame:
     """Average score at two decimals, number of ratings and latest date per key."""
-    return df.groupBy(key).agg(
-        rounded_avg(F.col(score)).alias("avg_score"),
-        F.count("*").alias("num_ratings"),
-        F.max(when).alias("last_rated"),
+    stats = exact_totals(
+        df, [key], averages={"avg_score": F.col(score)}, rows="num_ratings", most={"last_rated": F.col(when)}
     )
+    return stats.withColumn("avg_score", rounded(F.col("avg_score"), 2))
 
 
-def bucket_stats(df: DataFrame, label: Column, name: str, value: Column, scale: int = 4) -> DataFrame:
+def bucket_stats(df: DataFrame, label: Column, name: str, value: Column) -> DataFrame:
     """Rows and average value per derived bucket."""
-    return (
-        df.select(label.alias(name), value.alias("_value"))
-        .groupBy(name)
-        .agg(F.count("*").alias("n"), exact_avg(F.col("_value"), scale).alias("avg_value"))
+    labelled = df.select(label.alias(name), value.alias("_value"))
+    return exact_totals(labelled, [name], averages={"avg_value": F.col("_value")}, rows="n").select(
+        name, "n", "avg_value"
     )
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import bucket, exact_avg, exact_sum
+from millrace.functions.numbers import bucket
 from millrace.operators import aggregates, ranking
+from millrace.operators.totals import exact_totals
 from millrace.plans.registry import query
 from millrace.streaming.wordcount import word_counts
 from millrace.tables import table
@@ -14,6 +15,11 @@ from millrace.tables import table
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
+def _to(digits: int, df: DataFrame, column: str) -> DataFrame:
+    """Without the last places of doubles, in which another engine's order of adding may differ."""
+    return df.withColumn(column, F.round(column, digits))
+
+
 def _orders_by_year(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
 
@@ -37,35 +43,34 @@ def group_count_multi(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
     SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS avg_price
+           round(avg(o_totalprice), 4) AS avg_price
     FROM orders GROUP BY 1
 """)
 def group_avg(spark: SparkSession, sf: str) -> DataFrame:
-    by_year = _orders_by_year(spark, sf).groupBy("year")
-    return by_year.agg(exact_avg(F.col("o_totalprice")).alias("avg_price")).orderBy("year")
+    by_year = exact_totals(_orders_by_year(spark, sf), ["year"], averages={"avg_price": F.col("o_totalprice")})
+    return _to(4, by_year, "avg_price").orderBy("year")
 
 
 @query("""
     SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS sum_price
+           round(sum(o_totalprice), 2) AS sum_price
     FROM orders GROUP BY 1
 """)
 def group_sum(spark: SparkSession, sf: str) -> DataFrame:
-    by_year = _orders_by_year(spark, sf).groupBy("year")
-    return by_year.agg(exact_sum(F.col("o_totalprice")).alias("sum_price")).orderBy("year")
+    by_year = exact_totals(_orders_by_year(spark, sf), ["year"], sums={"sum_price": F.col("o_totalprice")})
+    return _to(2, by_year, "sum_price").orderBy("year")
 
 
 @query("""
-    SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS avg_value,
-           min(value) AS min_value
+    SELECT event_type, round(avg(value), 4) AS avg_value, min(value) AS min_value
     FROM events GROUP BY event_type
 """)
 def group_min_avg(spark: SparkSession, sf: str) -> DataFrame:
-    return (
-        table(spark, sf, "events")
-        .groupBy("event_type")
-        .agg(exact_avg(F.col("value")).alias("avg_value"), F.min("value").alias("min_value"))
+    value = F.col("value")
+    found = exact_totals(
+        table(spark, sf, "events"), ["event_type"], averages={"avg_value": value}, least={"min_value": value}
     )
+    return _to(4, found, "avg_value")
 
 
 @query("""
@@ -82,18 +87,15 @@ def game_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    SELECT n_name, count(*) AS freq, CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS avg_balance
+    SELECT n_name, count(*) AS freq, round(avg(c_acctbal), 4) AS avg_balance
     FROM customer JOIN nation ON c_nationkey = n_nationkey
     GROUP BY n_name HAVING count(*) >= 20 ORDER BY freq DESC, n_name LIMIT 10
 """)
 def having_topk(spark: SparkSession, sf: str) -> DataFrame:
     """Counted per nation key first; names are joined to the counts."""
-    per_nation = (
-        table(spark, sf, "customer")
-        .groupBy("c_nationkey")
-        .agg(F.count("*").alias("freq"), exact_avg(F.col("c_acctbal")).alias("avg_balance"))
-        .filter("freq >= 20")
-    )
+    customer = table(spark, sf, "customer")
+    per_nation = exact_totals(customer, ["c_nationkey"], averages={"avg_balance": F.col("c_acctbal")}, rows="freq")
+    per_nation = _to(4, per_nation, "avg_balance").filter("freq >= 20")
     nation = table(spark, sf, "nation")
     named = per_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = named.select("n_name", "freq", "avg_balance")
@@ -101,26 +103,18 @@ def having_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    SELECT o_custkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS avg_price,
-           count(*) AS n
+    SELECT o_custkey, round(avg(o_totalprice), 4) AS avg_price, count(*) AS n
     FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY o_custkey HAVING count(*) >= 3
     ORDER BY avg_price DESC, o_custkey LIMIT 10
 """)
 def having_topk_recent(spark: SparkSession, sf: str) -> DataFrame:
     recent = table(spark, sf, "orders").filter("o_orderdate >= timestamp_ntz'1998-01-01'")
-    return ranking.having_top_k(
-        recent,
-        "o_custkey",
-        [exact_avg(F.col("o_totalprice")).alias("avg_price"), F.count("*").alias("n")],
-        "n >= 3",
-        [F.desc("avg_price")],
-        10,
-    )
+    grouped = exact_totals(recent, ["o_custkey"], averages={"avg_price": F.col("o_totalprice")}, rows="n")
+    return ranking.top_k(_to(4, grouped, "avg_price").filter("n >= 3"), [F.desc("avg_price")], ["o_custkey"], 10)
 
 
 @query("""
-    SELECT price_bucket, count(*) AS n,
-           CAST(sum(CAST(net AS DECIMAL(18, 4))) AS DOUBLE) / count(*) AS avg_value
+    SELECT price_bucket, count(*) AS n, round(avg(net), 4) AS avg_value
     FROM (SELECT l_extendedprice * (1 - l_discount) AS net,
                  CASE WHEN l_extendedprice * (1 - l_discount) < 20000 THEN 'LOW'
                       WHEN l_extendedprice * (1 - l_discount) <= 50000 THEN 'MEDIUM'
@@ -132,12 +126,11 @@ def price_bucket_stats(spark: SparkSession, sf: str) -> DataFrame:
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     label = bucket([(net < 20000, "LOW"), ((net >= 20000) & (net <= 50000), "MEDIUM")], "HIGH")
     stats = aggregates.bucket_stats(table(spark, sf, "lineitem"), label, "price_bucket", net)
-    return stats.orderBy(F.desc("avg_value"))
+    return _to(4, stats, "avg_value").orderBy(F.desc("avg_value"))
 
 
 @query("""
-    SELECT age_group, c_mktsegment, count(*) AS orders,
-           CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) / count(*) AS avg_value
+    SELECT age_group, c_mktsegment, count(*) AS orders, round(avg(c_acctbal), 4) AS avg_value
     FROM (SELECT c_mktsegment, c_acctbal,
                  CASE WHEN c_acctbal < 2500 THEN 'YOUNG' WHEN c_acctbal < 4500 THEN 'ADULT'
                       ELSE 'SENIOR' END AS age_group
@@ -148,12 +141,10 @@ def band_category_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Balance in hundreds as the age: under 25, under 45, the rest; others than 0..100 are invalid."""
     value = F.col("c_acctbal")
     band = bucket([(value < 2500, "YOUNG"), ((value >= 2500) & (value < 4500), "ADULT")], "SENIOR")
-    stats = (
-        table(spark, sf, "customer")
-        .filter((value >= 0) & (value <= 10000))
-        .groupBy(band.alias("age_group"), "c_mktsegment")
-        .agg(F.count("*").alias("orders"), exact_avg(value).alias("avg_value"))
-    )
+    valid = table(spark, sf, "customer").filter((value >= 0) & (value <= 10000))
+    banded = valid.select(band.alias("age_group"), "c_mktsegment", "c_acctbal")
+    stats = exact_totals(banded, ["age_group", "c_mktsegment"], averages={"avg_value": value}, rows="orders")
+    stats = _to(4, stats, "avg_value")
     return ranking.sort_rows(stats, [F.asc("age_group"), F.desc("orders")], ["c_mktsegment"])
 
 
@@ -266,16 +257,13 @@ def sort_desc_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    SELECT n_name, CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) AS balance
+    SELECT n_name, round(sum(c_acctbal), 2) AS balance
     FROM customer JOIN nation ON c_nationkey = n_nationkey
     GROUP BY n_name ORDER BY balance DESC, n_name LIMIT 10
 """)
 def topk_by_sum(spark: SparkSession, sf: str) -> DataFrame:
-    per_nation = (
-        table(spark, sf, "customer")
-        .groupBy("c_nationkey")
-        .agg(exact_sum(F.col("c_acctbal")).alias("balance"))
-    )
+    customer = table(spark, sf, "customer")
+    per_nation = _to(2, exact_totals(customer, ["c_nationkey"], sums={"balance": F.col("c_acctbal")}), "balance")
     nation = table(spark, sf, "nation")
     named = per_nation.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return ranking.top_k(named.select("n_name", "balance"), [F.desc("balance")], ["n_name"], 10)
