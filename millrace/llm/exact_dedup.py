@@ -52,6 +52,8 @@ def remember(
     # A session of its own, so that the settings of the stream are not those of the caller.
     own = spark.newSession()
     own.conf.set(SHUFFLE_PARTITIONS, spark.conf.get(SHUFFLE_PARTITIONS))
+    # A store of some rows takes their room on disk, not 4 MB.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     # As a pattern, which may name a file; a plain path of a stream has to be a folder.
     folder, name = path.rstrip("/")[:-1], path.rstrip("/")[-1:]
     stream = own.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{folder}[{name}]")
