@@ -44,6 +44,8 @@ TRIGGERS, MOST = 16, 256
 BLOCK_BYTES = 16_000_000
 READ_BYTES = 4_000_000
 EMITTED = 100_000
+# Keys that a task gathers before it passes them on, block by block.
+HELD = 2_000_000
 # Signs that end a piece (fixed values), as a line break each.
 BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\x0d", b"\n" * 9)
 BLOCKS = "block bigint, lang string, chunks binary, counts binary, n_inner bigint"
@@ -181,8 +183,8 @@ def _blocks(batch: pa.RecordBatch | pa.Table, overlap: int) -> Iterator[tuple[in
 
 
 def frequent_pairs(blocks: DataFrame, min_count: int, longest: int) -> DataFrame:
-    """``block`` and ``key``: hashes of pairs that stand there ``min_count`` times or more in all blocks
-    together, for every block that holds them."""
+    """``block`` and ``keys``: hashes of pairs that stand there ``min_count`` times or more in all blocks
+    together, for every block that holds them; a block may have several lists."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,23 +201,35 @@ def frequent_pairs(blocks: DataFrame, min_count: int, longest: int) -> DataFrame
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Sorted by key; a key may go on in the next batch, with a row for each block it is in.
-        rest = np.zeros((3, 0), np.int64)
+        rest, found, held = np.zeros((3, 0), np.int64), [], 0
         for batch in batches:
             rows = np.concatenate([rest, np.stack([batch.column(c).to_numpy() for c in ("key", "block", "n")])], axis=1)
             whole = int(np.searchsorted(rows[0], rows[0][-1])) if rows.shape[1] else 0
-            yield from found(rows[:, :whole])
+            found.append(enough(rows[:, :whole]))
+            held += found[-1].shape[1]
+            if held >= HELD:
+                yield from by_block(np.concatenate(found, axis=1))
+                found, held = [], 0
             rest = rows[:, whole:]
-        yield from found(rest)
+        yield from by_block(np.concatenate([*found, enough(rest)], axis=1))
 
-    def found(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def enough(rows: np.ndarray) -> np.ndarray:
+        """Keys and blocks of the keys that occur often enough in all their rows."""
+        starts = np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1])) if rows.shape[1] else np.zeros(0, np.int64)
+        sums = np.add.reduceat(rows[2], starts) if rows.shape[1] else starts
+        kept = np.repeat(sums >= min_count, np.diff(np.append(starts, rows.shape[1])))
+        return rows[:2, kept]
+
+    def by_block(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         if rows.shape[1]:
-            starts = np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1]))
-            sums = np.add.reduceat(rows[2], starts)
-            kept = np.repeat(sums >= min_count, np.diff(np.append(starts, rows.shape[1])))
-            yield pa.record_batch([pa.array(rows[1][kept]), pa.array(rows[0][kept])], names=["block", "key"])
+            order = np.argsort(rows[1], kind="stable")
+            numbers, starts = np.unique(rows[1][order], return_index=True)
+            offsets = pa.array(np.append(starts, rows.shape[1]), pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(rows[0][order]))
+            yield pa.record_batch([pa.array(numbers), lists], names=["block", "keys"])
 
     keys = blocks.mapInArrow(hashed, "key bigint, block bigint, n bigint")
-    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(frequent, "block bigint, key bigint")
+    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(frequent, "block bigint, keys array<bigint>")
 
 
 def phrase_counts(
@@ -227,7 +241,7 @@ def phrase_counts(
     blocks = blocks_of(texts, longest, block_bytes)
 
     def run(block: pa.Table, frequent: pa.Table) -> pa.Table:
-        keys = frequent.column("key").to_numpy()
+        keys = frequent.column("keys").combine_chunks().flatten().to_numpy()
         tables = [pa.table({name: pa.array([], kind) for name, kind in schema.items()})]
         for _, one in _blocks(block, longest - 1):
             for length, phrases, counts in one.counted(keys, longest):
@@ -271,7 +285,8 @@ def collocations(
     of = lambda name, count: counts.filter("words >= 1").select(
         "lang", F.col("phrase").alias(name), F.col("n").alias(count)
     )
-    totals = counts.filter("words = 0").select("lang", F.col("n").alias("_total"))
+    # A table of its own, whose size says whether it is broadcast.
+    totals = materialize(counts.filter("words = 0").select("lang", F.col("n").alias("_total")), "totals")
     scored = cuts.join(of("_left", "l"), ["lang", "_left"]).join(of("_right", "r"), ["lang", "_right"]).join(totals, "lang")
     score = exact_score(F.col("a"), F.col("_total"), F.col("l"), F.col("r"))
     weakest = scored.groupBy("lang", "phrase", "a").agg(
