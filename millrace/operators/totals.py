@@ -8,8 +8,6 @@ the largest first, in double-double arithmetic. The result is the double nearest
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,7 +64,7 @@ def put_together(bins: Column) -> Column:
     # Only totals near the largest double are added up in smaller units, which their sum may exceed.
     unit = F.greatest(BIN_BITS * F.get(ordered, F.lit(0))["bin"].cast("bigint") - ROOM, F.lit(0))
 
-    def added(total: Column, one: Column) -> Column:
+    def terms(one: Column) -> Column:
         # Digits in range, so that each of three doubles holds its part exactly.
         middle = one["d1"] + F.shiftright(one["d2"], DIGIT_BITS)
         high = one["d0"] + F.shiftright(middle, DIGIT_BITS)
@@ -77,10 +75,10 @@ def put_together(bins: Column) -> Column:
             (high.bitwiseAND(F.lit(0xFFFF_FFFF)), power + 2 * DIGIT_BITS),
             (low, power),
         ]
-        return reduce(lambda t, part: _two_sum(t, scaled(part[0].cast("double"), part[1])), parts, total)
+        return F.array(*[scaled(digits.cast("double"), exponent) for digits, exponent in parts])
 
     start = F.struct(F.lit(0.0).alias("hi"), F.lit(0.0).alias("lo"))
-    total = F.aggregate(ordered, start, added, lambda t: t["hi"] + t["lo"])
+    total = F.aggregate(F.flatten(F.transform(ordered, terms)), start, _two_sum, lambda t: t["hi"] + t["lo"])
     return F.when(F.size(ordered) > 0, scaled(total, unit)).otherwise(F.lit(0.0))
 
 
