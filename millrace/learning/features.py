@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.numbering import numbered_keys, with_numbers
+
 _STEPS = 1_000_000
 # Leading hexadecimal digits of the hash that make the draw.
 _DIGITS = 12
@@ -17,9 +19,10 @@ def assemble(df: DataFrame, columns: list[str], name: str = "features") -> DataF
 
 
 def index_labels(df: DataFrame, column: str, name: str = "label") -> DataFrame:
-    """Text labels as numbers, the most frequent first, ties alphabetical. The distinct labels become
-    part of a model on the driver: for class labels, not for columns of unbounded variety."""
-    return StringIndexer(inputCol=column, outputCol=name).fit(df).transform(df)
+    """Text labels as numbers from 0.0, the most frequent first, ties alphabetical. Labels are numbered and
+    joined as tables of any size; a NULL label has no number."""
+    numbers = numbered_keys(df, column, name, by_frequency=True)
+    return with_numbers(df, numbers.withColumn(name, F.col(name).cast("double")), column).select(*df.columns, name)
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFrame]:

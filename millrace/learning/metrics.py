@@ -6,6 +6,8 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.numbering import running_totals
+
 
 def classification_metrics(
     df: DataFrame, label: str = "label", prediction: str = "prediction"
@@ -63,3 +65,51 @@ def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def silhouette(clustered: DataFrame, features: str = "features") -> float:
     """Mean silhouette by squared distance, computed from per-cluster sums in linear time."""
     return ClusteringEvaluator(featuresCol=features).evaluate(clustered)
+
+
+def cluster_silhouettes(clustered: DataFrame, vector: str, cluster: str) -> DataFrame:
+    """Per cluster its number of points ``n`` and their mean ``silhouette``, by squared distance, in two scans.
+
+    ``vector`` is an array of doubles, ``cluster`` any key. The first scan gives each cluster's number, sum
+    of vectors and sum of squared lengths; from these the mean squared distance of a point to all points of a
+    cluster follows, so the second scan compares points with clusters, not with points. Points meet the
+    clusters as one array, as long as there are clusters."""
+    points = clustered.select(F.col(cluster).alias("cluster"), F.col(vector).alias("_v"))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    sized = points.groupBy("cluster").agg(F.count("*").alias("_n"), F.sum(dot(F.col("_v"), F.col("_v"))).alias("_squares"))
+    entries = points.select("cluster", F.posexplode("_v").alias("_at", "_x"))
+    sums = entries.groupBy("cluster", "_at").agg(F.sum("_x").alias("_x")).groupBy("cluster").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_at", "_x"))), lambda s: s["_x"]).alias("_sums")
+    )
+    stats = sized.join(sums, "cluster").agg(F.collect_list(F.struct("cluster", "_n", "_squares", "_sums")).alias("_all"))
+    met = points.crossJoin(F.broadcast(stats))
+    square = dot(F.col("_v"), F.col("_v"))
+    away = F.transform("_all", lambda c: F.struct(
+        c["cluster"].alias("cluster"), c["_n"].alias("n"),
+        (square + (c["_squares"] - 2 * dot(F.col("_v"), c["_sums"])) / c["_n"]).alias("away"),
+    ))
+    measured = met.select("cluster", away.alias("_away"))
+    own = F.get(F.filter("_away", lambda c: c["cluster"] == F.col("cluster")), F.lit(0))
+    others = F.array_min(F.transform(F.filter("_away", lambda c: c["cluster"] != F.col("cluster")), lambda c: c["away"]))
+    measured = measured.select("cluster", own["n"].alias("_n"), own["away"].alias("_own"), others.alias("_b"))
+    inside = F.col("_own") * F.col("_n") / (F.col("_n") - 1)
+    value = F.when((F.col("_n") > 1) & (F.greatest(inside, "_b") > 0), (F.col("_b") - inside) / F.greatest(inside, "_b"))
+    return measured.groupBy("cluster").agg(
+        F.count("*").alias("n"), F.avg(F.coalesce(value, F.lit(0.0))).alias("silhouette")
+    )
+
+
+def threshold_curve(scored: DataFrame, label: str, score: str) -> DataFrame:
+    """Precision and recall at every threshold: a row per different ``score``, with the rows at or above it
+    (``n``), those of them whose label is 1 (``hits``), ``precision`` and ``recall``. Rows without a score or label are left out.
+
+    Rows of one score are counted first; the totals then run over score ranges, one task a range."""
+    known = scored.select(F.col(score).alias("threshold"), (F.col(label) == 1).cast("bigint").alias("_hit")).dropna()
+    steps = known.groupBy("threshold").agg(F.count("*").alias("_n"), F.sum("_hit").alias("_hits"))
+    running = running_totals(steps, [F.desc("threshold")], {"_n": "n", "_hits": "hits"})
+    everything = running.agg(F.max("hits").alias("_all"))
+    hits = F.col("hits")
+    recall = F.when(F.col("_all") > 0, hits / F.col("_all"))
+    return running.crossJoin(F.broadcast(everything)).select(
+        "threshold", "n", "hits", (hits / F.col("n")).alias("precision"), recall.alias("recall")
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from millrace.functions.numbers import bucket
 from millrace.operators import aggregates, ranking
 from millrace.operators.totals import exact_totals
 from millrace.plans.registry import query
+from millrace.scratch import materialize
 from millrace.streaming.wordcount import word_counts
 from millrace.tables import table
 
@@ -211,6 +214,19 @@ def distinct_counts(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.distinct_counts(table(spark, sf, "lineitem"), ["l_partkey", "l_suppkey"])
 
 
+@query("""
+    SELECT l_returnflag, l_linestatus, count(DISTINCT l_partkey) AS n_distinct FROM lineitem
+    GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (l_returnflag), ())
+""")
+def distinct_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Different parts per flag and status, per flag, and in all, from the bitmaps of the finest groups."""
+    groups = ["l_returnflag", "l_linestatus"]
+    bitmaps = materialize(aggregates.distinct_bitmaps(table(spark, sf, "lineitem"), groups, "l_partkey"), "bitmaps")
+    levels = [aggregates.merged_distinct(bitmaps, groups[:n]) for n in (2, 1, 0)]
+    none = F.lit(None).cast("string")
+    return reduce(DataFrame.unionByName, [level.withColumns({g: none for g in groups if g not in level.columns}) for level in levels])
+
+
 @query("SELECT l_partkey, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total FROM lineitem GROUP BY 1")
 def reduce_by_key(spark: SparkSession, sf: str) -> DataFrame:
     pairs = table(spark, sf, "lineitem").select("l_partkey", F.col("l_quantity").cast("bigint").alias("quantity"))
