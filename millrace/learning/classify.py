@@ -13,6 +13,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.learning.rules import nodes
+
 
 def logistic(max_iter: int = 10, reg: float = 0.01) -> LogisticRegression:
     return LogisticRegression(maxIter=max_iter, regParam=reg)
@@ -52,21 +54,8 @@ def training_history(model) -> DataFrame:
 def rules(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Nodes of a saved tree or forest as rows: ``tree``, ``node``, ``feature`` and ``threshold`` of
     its test (NULL in a leaf), ``left`` (value at most the threshold), ``right``, ``prediction``."""
-    node = F.col("node")
-    saved = spark.read.parquet(f"{path}/data")
-    nodes = saved.select(F.col("treeID").alias("tree"), F.col("nodeData").alias("node"))
-    inner = node["leftChild"] >= 0
-    names = F.array(*[F.lit(c) for c in columns])
-    test = node["split"]
-    return nodes.select(
-        "tree",
-        node["id"].alias("node"),
-        F.when(inner, F.get(names, test["featureIndex"])).alias("feature"),
-        F.when(inner, F.get(test["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"),
-        F.when(inner, node["leftChild"]).alias("left"),
-        F.when(inner, node["rightChild"]).alias("right"),
-        node["prediction"].alias("prediction"),
-    )
+    saved = nodes(spark, path, columns)
+    return saved.select("tree", "node", "feature", "threshold", "left", "right", "prediction")
 
 
 def save_model(model, path: str) -> None:
