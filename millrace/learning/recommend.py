@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.numbering import numbered, numbered_keys
+from millrace.scratch import materialize
+
+USER, ITEM = "_user_number", "_item_number"
+# Items of a block, and users that meet one in a task.
+BLOCK, GROUP = 4_096, 50_000
+BEST = "array<struct<minus: double, item: int>>"
+
 
 def fit_als(
     ratings: DataFrame,
@@ -32,11 +45,159 @@ def fit_als(
     return als.fit(single)
 
 
+@dataclass
+class Recommender:
+    """A fitted factorization whose users and items may have keys of any type: the model knows them by
+    dense numbers, which two tables hold."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+    user: str
+    item: str
+
+    def predict(self, pairs: DataFrame) -> DataFrame:
+        """Pairs of a known user and item with their ``prediction``; others are left out, as in the model."""
+        numbers = pairs.join(self.users, self.user).join(self.items, self.item)
+        return self.model.transform(numbers).select(*pairs.columns, "prediction")
+
+    def recommend(self, n: int) -> DataFrame:
+        """Best n items of every user, one row each: user, item, ``rating`` and ``place`` from 1."""
+        best, _ = top_items(self.model.userFactors, self.model.itemFactors, n)
+        keyed = best.join(self.users.withColumnRenamed(USER, "id"), "id")
+        return keyed.join(self.items.withColumnRenamed(ITEM, "item"), "item").select(self.user, self.item, "rating", "place")
+
+
+def fit_ratings(ratings: DataFrame, user: str, item: str, rating: str, **als) -> Recommender:
+    """``fit_als`` for keys that are no 32-bit numbers, such as long numbers or text. Users and items are counted
+    with dense numbers first; there may be 2^31 of each. Rows without a key are left out."""
+    users = materialize(numbered_keys(ratings, user, USER), "users")
+    items = materialize(numbered_keys(ratings, item, ITEM), "items")
+    for numbers, name in ((users, USER), (items, ITEM)):
+        if (numbers.agg(F.max(name)).first()[0] or 0) >= 1 << 31:
+            raise ValueError(f"the factorization holds 2^31 different values of {user if name == USER else item}")
+    as_int = lambda numbers, name: numbers.withColumn(name, F.col(name).cast("int"))
+    users, items = as_int(users, USER), as_int(items, ITEM)
+    plain = ratings.join(users, user).join(items, item).select(USER, ITEM, rating)
+    return Recommender(fit_als(plain, USER, ITEM, rating, **als), users, items, user, item)
+
+
 def recommend_titles(
     model: ALSModel, titles: DataFrame, user: str, item: str, title: str, n: int = 5
 ) -> DataFrame:
     """Best n items of every user, one row each, with their titles and predicted ratings."""
-    flat = model.recommendForAllUsers(n).select(user, F.explode("recommendations").alias("rec"))
-    flat = flat.select(user, F.col(f"rec.{item}").alias("_item"), F.col("rec.rating").alias("rating"))
-    names = titles.select(F.col(item).alias("_item"), title)
-    return flat.join(names, "_item").select(user, title, "rating")
+    best, _ = top_items(model.userFactors, model.itemFactors, n)
+    names = titles.select(F.col(item).alias("item"), title)
+    return best.join(names, "item").select(F.col("id").alias(user), title, "rating")
+
+
+def _norm(features: str) -> Column:
+    return F.sqrt(F.aggregate(features, F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+
+
+def top_items(
+    users: DataFrame, items: DataFrame, n: int, block: int = BLOCK, group: int = GROUP
+) -> tuple[DataFrame, int]:
+    """The n items with the greatest product of factors for every user, and how many products were taken.
+
+    ``users`` and ``items`` have ``id`` and ``features``. Items are laid out in blocks by falling length of their
+    factors. No product is greater than the lengths of both sides allow, so a user whose n-th best is above
+    what the next block allows is done. Rounds take one block, then as many as all before; a user
+    meets only blocks that may still change the result. Equal products go to the smaller item. Rows: ``id``,
+    ``item``, ``rating``, ``place`` from 1. A block and ``group`` users at a time meet in one task.
+    """
+    lengths = items.select("id", "features", _norm("features").alias("_norm"))
+    placed = numbered(lengths, [F.desc("_norm"), "id"], "_at").withColumn("_block", F.floor(F.col("_at") / block))
+    blocks = placed.groupBy("_block").agg(
+        F.max("_norm").alias("_norm"),
+        F.count("*").alias("_size"),
+        F.array_sort(F.collect_list(F.struct(F.col("id").alias("item"), "features"))).alias("_items"),
+    )
+    blocks = materialize(blocks, "item-blocks")
+    # One number a block.
+    held = blocks.select("_norm", "_size").orderBy("_block").collect()
+    bounds = np.array([r["_norm"] for r in held])
+    sizes = np.array([r["_size"] for r in held], np.int64)
+    state = users.select("id", "features", _norm("features").alias("_length"), F.lit(None).cast(BEST).alias("best"))
+    state = materialize(state, "users")
+    slots = max(1, -(-state.count() // group))
+    low, high, scored = 0, min(1, len(held)), 0
+    while low < high:
+        asked = materialize(_asked(state, bounds, low, high, n, slots), "asked")
+        counts = asked.groupBy("_block").count().collect()
+        if not counts:
+            break
+        scored += sum(int(r["count"]) * int(sizes[r["_block"]]) for r in counts)
+        some = blocks.filter((F.col("_block") >= low) & (F.col("_block") < high)).select(
+            "_block", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("_slot"), "_items"
+        )
+        keys = ["_block", "_slot"]
+        found = asked.groupBy(*keys).cogroup(some.groupBy(*keys)).applyInArrow(_scored(n), "id int, score double, item int")
+        mine = state.select("id", F.inline("best")).select("id", (-F.col("minus")).alias("score"), "item")
+        pairs = found.unionAll(mine).groupBy("id").agg(
+            F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "item"))), 1, n).alias("_best")
+        )
+        state = state.join(pairs, "id", "left").select("id", "features", "_length", F.coalesce("_best", "best").alias("best"))
+        state = materialize(state, "users")
+        low, high = high, min(2 * high, len(held))
+    best = state.select("id", F.posexplode("best").alias("place", "b")).select(
+        "id", F.col("b.item").alias("item"), (-F.col("b.minus")).cast("float").alias("rating"), (F.col("place") + 1).alias("place")
+    )
+    return best, scored
+
+
+def _asked(state: DataFrame, bounds: np.ndarray, low: int, high: int, n: int, slots: int) -> DataFrame:
+    """A row per user and block from ``low`` to ``high`` that may hold one of the user's n best."""
+    worst = F.when(F.size("best") >= n, -F.element_at("best", -1)["minus"])
+    rows = state.select("id", "features", "_length", worst.alias("_worst"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length = batch.column("_length").to_numpy(zero_copy_only=False)
+            worst = batch.column("_worst").to_numpy(zero_copy_only=False).astype(float)
+            for number in range(low, high):
+                # Room for the rounding of both lengths.
+                may = length * bounds[number] * (1 + 1e-9) >= worst
+                here = np.flatnonzero(may | np.isnan(worst))
+                if len(here):
+                    some = batch.take(pa.array(here))
+                    ids = some.column("id").to_numpy()
+                    columns = [pa.array(np.full(len(ids), number)), pa.array(ids.astype(np.int64) % slots, pa.int32())]
+                    columns += [some.column(c) for c in ("id", "features", "_worst")]
+                    yield pa.record_batch(columns, names=["_block", "_slot", "id", "features", "_worst"])
+
+    return rows.mapInArrow(run, "_block bigint, _slot int, id int, features array<float>, _worst double")
+
+
+def _scored(n: int):
+    """For users and a block of items: the products that are among the n best of the block and not below
+    the user's worst."""
+
+    def run(users: pa.Table, block: pa.Table) -> pa.Table:
+        matrix = lambda lists, rows: lists.combine_chunks().flatten().to_numpy().reshape(rows, -1).astype(float)
+        out = [np.zeros(0, np.int32)], [np.zeros(0)], [np.zeros(0, np.int32)]
+        if users.num_rows and block.num_rows:
+            held = block.column("_items").combine_chunks().flatten()
+            items = held.field("item").to_numpy()
+            factors = np.array(held.field("features").to_pylist(), float)
+            ids = users.column("id").to_numpy()
+            worst = np.nan_to_num(users.column("_worst").to_numpy().astype(float), nan=-np.inf)
+            x = matrix(users.column("features"), users.num_rows)
+            for at in range(0, len(x), 1024):
+                scores = x[at : at + 1024] @ factors.T
+                kept = min(n, scores.shape[1])
+                least = np.partition(scores, scores.shape[1] - kept, axis=1)[:, scores.shape[1] - kept]
+                least = np.maximum(least, worst[at : at + 1024])
+                who, what = np.nonzero(scores >= least[:, None])
+                # Of equal products the first items, which are in ascending order.
+                order = np.lexsort((what, -scores[who, what], who))
+                who, what = who[order], what[order]
+                nth = np.arange(len(who)) - np.searchsorted(who, who)
+                who, what = who[nth < n], what[nth < n]
+                for column, values in zip(out, (ids[at + who], scores[who, what], items[what])):
+                    column.append(values)
+        found = [np.concatenate(c) for c in out]
+        kinds = [pa.int32(), pa.float64(), pa.int32()]
+        return pa.table([pa.array(c, k) for c, k in zip(found, kinds)], names=["id", "score", "item"])
+
+    return run

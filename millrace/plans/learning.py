@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.learning import classify, cluster, features, metrics, recommend
+from millrace.learning import classify, cluster, features, metrics, recommend, rules
 from millrace.operators.quality import fill_nulls
 from millrace.plans.registry import query
 from millrace.scratch import materialize, scratch_path
@@ -198,6 +198,26 @@ def ml_classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return found.select([F.round(c, 9).alias(c) for c in found.columns])
 
 
+@query("""
+    WITH scored AS (
+        SELECT floor(n_chars / 50) AS score, quality FROM documents JOIN labels USING (doc_id)
+        WHERE n_chars IS NOT NULL AND quality IS NOT NULL),
+    steps AS (SELECT score, count(*) AS n, count(*) FILTER (quality = 1) AS hits FROM scored GROUP BY score),
+    running AS (
+        SELECT score, CAST(sum(n) OVER up AS BIGINT) AS n, CAST(sum(hits) OVER up AS BIGINT) AS hits
+        FROM steps WINDOW up AS (ORDER BY score DESC))
+    SELECT CAST(score AS BIGINT) AS threshold, n, hits, round(hits / n, 9) AS precision,
+           round(hits / (SELECT count(*) FROM scored WHERE quality = 1), 9) AS recall
+    FROM running
+""")
+def ml_threshold_curve(spark: SparkSession, sf: str) -> DataFrame:
+    """Precision and recall of a fixed score, the length of a document in 50 characters, at every threshold."""
+    labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
+    scored = table(spark, sf, "documents").select("doc_id", F.floor(F.col("n_chars") / 50).alias("score")).join(labels, "doc_id")
+    curve = metrics.threshold_curve(scored, "label", "score")
+    return curve.withColumns({c: F.round(c, 9) for c in ("precision", "recall")})
+
+
 @query()
 def ml_decision_tree(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split(_embedded(spark, sf), "vec_id")
@@ -218,6 +238,39 @@ def ml_forest_rules(spark: SparkSession, sf: str) -> DataFrame:
     return found.join(astray, "tree", "left").select("tree", "n_open", F.coalesce("count", F.lit(0)).alias("n_astray"))
 
 
+@query(f"""
+    SELECT unnest(['tree', 'forest']) AS model, count(*) AS n_rows, 0 AS n_astray, 0 AS n_differ
+    FROM embeddings WHERE {_drawn('vec_id')} >= 800000
+""")
+def ml_tree_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out rows whose prediction by the rules of a saved model, applied in joins, differs from the model's own,
+    and rows that do not reach one leaf of each tree."""
+    train, test = _split(_embedded(spark, sf), "vec_id")
+    width = len(train.first()["features"])
+    columns = [f"e{i}" for i in range(width)]
+    wide = test.select("vec_id", vector_to_array("features").alias("f"))
+    wide = wide.select("vec_id", *[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(columns)])
+    facts = []
+    for name, trees, kind in (("tree", 1, classify.decision_tree()), ("forest", 3, classify.random_forest(trees=3))):
+        model, path = kind.fit(train), scratch_path(spark, name)
+        classify.save_model(model, path)
+        tree = materialize(rules.nodes(spark, path, columns), "nodes")
+        found = materialize(rules.conditions(tree), "conditions")
+        leaves = materialize(rules.reached(wide, ["vec_id"], columns, found, tree), "leaves")
+        votes = rules.voted(leaves, ["vec_id"]).withColumnRenamed("prediction", "_voted")
+        once = leaves.groupBy("vec_id").agg((F.countDistinct("tree") == trees).alias("_all"), (F.count("*") == trees).alias("_once"))
+        mine = model.transform(test).select("vec_id", "prediction")
+        checked = mine.join(votes, "vec_id", "left").join(once, "vec_id", "left")
+        facts.append(
+            checked.agg(
+                F.count("*").alias("n_rows"),
+                F.count_if(~F.coalesce(F.col("_all") & F.col("_once"), F.lit(False))).alias("n_astray"),
+                F.count_if(~F.col("prediction").eqNullSafe(F.col("_voted"))).alias("n_differ"),
+            ).withColumn("model", F.lit(name))
+        )
+    return reduce(DataFrame.unionAll, facts)
+
+
 @query()
 def ml_random_forest(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _split(_embedded(spark, sf), "vec_id")
@@ -319,9 +372,8 @@ def als_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Every user gets five different items, and the fit is nearer to its ratings than their mean is."""
     ratings = _ratings(spark, sf)
     model = recommend.fit_als(ratings, "user_id", "item_id", "rating")
-    best = materialize(model.recommendForAllUsers(5), "best")
-    items = F.transform("recommendations", lambda r: r["item_id"])
-    users = best.select(F.size(items).alias("n"), F.size(F.array_distinct(items)).alias("_distinct"))
+    best, _ = recommend.top_items(model.userFactors, model.itemFactors, 5)
+    users = best.groupBy("id").agg(F.count("*").alias("n"), F.countDistinct("item").alias("_distinct"))
     error = F.col("prediction") - F.col("rating")
     beats = F.sqrt(F.avg(error * error)) < F.stddev_pop("rating")
     return _facts(
@@ -332,6 +384,36 @@ def als_facts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("""
+    WITH r AS (SELECT DISTINCT o_custkey, l_partkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+    SELECT 'pairs' AS fact, count(*) AS value FROM r
+    UNION ALL SELECT 'users', count(DISTINCT o_custkey) FROM r
+    UNION ALL SELECT 'recommended', 5 * count(DISTINCT o_custkey) FROM r
+    UNION ALL SELECT * FROM (VALUES ('untitled', 0), ('out of order', 0), ('beats mean', 1))
+""")
+def als_key_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same ratings with text as users and numbers beyond 32 bits as items: all pairs are
+    predicted, every user gets five known items, best first."""
+    key, wide = F.concat(F.lit("customer "), F.col("user_id")), F.col("item_id").cast("bigint") + (1 << 40)
+    ratings = _ratings(spark, sf).select(key.alias("who"), wide.alias("what"), "rating")
+    fitted = recommend.fit_ratings(ratings, "who", "what", "rating")
+    best = materialize(fitted.recommend(5), "best")
+    titles = table(spark, sf, "part").select((F.col("p_partkey") + (1 << 40)).alias("what"), F.col("p_name").alias("title"))
+    after = F.lag("rating").over(W.partitionBy("who").orderBy("place"))
+    ordered = best.join(titles, "what", "left").withColumn("_before", after)
+    error = F.col("prediction") - F.col("rating")
+    predicted = fitted.predict(ratings)
+    beats = F.sqrt(F.avg(error * error)) < F.stddev_pop("rating")
+    return _facts(
+        predicted.agg(F.count("*").alias("pairs"), F.countDistinct("who").alias("users"), beats.alias("beats mean")),
+        ordered.agg(
+            F.count("*").alias("recommended"),
+            F.count_if(F.col("title").isNull()).alias("untitled"),
+            F.count_if(F.col("_before") < F.col("rating")).alias("out of order"),
+        ),
+    )
+
+
 @query("""
     SELECT round(sqrt(avg((l_quantity * 1500 - l_extendedprice) * (l_quantity * 1500 - l_extendedprice))), 4) AS rmse
     FROM lineitem
@@ -390,6 +472,48 @@ def kmeans_silhouette(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(2, float(value))], "k int, silhouette double")
 
 
+@query("""
+    WITH p AS (SELECT vec_id, label % 4 AS c, embedding::DOUBLE[] AS v FROM embeddings),
+    e AS (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM p),
+    y AS (SELECT c, list(s ORDER BY i) AS ys FROM (SELECT c, i, sum(x) AS s FROM e GROUP BY c, i) GROUP BY c),
+    st AS (SELECT c, count(*) AS n, sum(list_dot_product(v, v)) AS q FROM p GROUP BY c),
+    d AS (
+        SELECT p.vec_id, p.c, st.c AS o, st.n,
+               list_dot_product(v, v) + (q - 2 * list_dot_product(v, ys)) / st.n AS away
+        FROM p, st JOIN y USING (c)),
+    ab AS (
+        SELECT vec_id, c, max(n) FILTER (o = c) AS n, max(away * n / (n - 1)) FILTER (o = c) AS a, min(away) FILTER (o <> c) AS b
+        FROM d GROUP BY vec_id, c)
+    SELECT c AS cluster, count(*) AS n, round(avg((b - a) / greatest(a, b)), 9) AS silhouette FROM ab GROUP BY c
+""")
+def silhouette_by_cluster(spark: SparkSession, sf: str) -> DataFrame:
+    """Silhouette of a fixed clustering of the vectors, by their label."""
+    rows = table(spark, sf, "embeddings").select(
+        (F.col("label") % 4).alias("cluster"), F.col("embedding").cast("array<double>").alias("v")
+    )
+    found = metrics.cluster_silhouettes(rows, "v", "cluster")
+    return found.withColumn("silhouette", F.round("silhouette", 9))
+
+
+@query("""
+    SELECT unnest([2, 4, 6, 8, 10]) AS k, count(*) AS n_points, unnest([2, 4, 6, 8, 10]) AS n_clusters, 0 AS n_away FROM embeddings
+""")
+def kmeans_sweep_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each k, all fitted together: points, clusters, and centers that are not near the mean of their
+    cluster (a fit may stop before its last step)."""
+    points = materialize(table(spark, sf, "embeddings").select(F.col("embedding").cast("array<double>").alias("v")), "points")
+    centers = cluster.fit_all(points, "v", [2, 4, 6, 8, 10], rounds=60)
+    fitted = [(k, i, [float(x) for x in c]) for k, cs in centers.items() for i, c in enumerate(cs)]
+    fitted = spark.createDataFrame(fitted, "k int, cluster int, center array<double>")
+    found = cluster.moments(points, "v", centers).join(fitted, ["k", "cluster"])
+    apart = F.zip_with("sums", "center", lambda s, c: F.abs(s / F.col("n") - c))
+    return found.groupBy("k").agg(
+        F.sum("n").alias("n_points"),
+        F.count("*").cast("int").alias("n_clusters"),
+        F.count_if(F.array_max(apart) > 0.05).cast("int").alias("n_away"),
+    )
+
+
 @query()
 def kmeans_centers(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.centers(spark, cluster.fit_kmeans(_embedded(spark, sf), 4))
