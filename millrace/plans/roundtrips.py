@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import nested_documents as nest
-from millrace.plans.graphs import part_edges
+from millrace.plans.graphs import EDGES, part_edges
 from millrace.plans.joining import RENTALS, rentals
 from millrace.plans.registry import query
 from millrace.schema import declare_schema
 from millrace.scratch import materialize, scratch_path
+from millrace.sinks import merging
 from millrace.sinks.files import write_csv, write_partitioned
 from millrace.sinks.stores import write_documents, write_nodes, write_relationships
 from millrace.sources.files import read_csv
@@ -118,3 +119,38 @@ def graph_relationships(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "relationships")
     write_relationships(edges, nodes, {"path": path}, fmt="parquet")
     return spark.read.parquet(path)
+
+
+@query("""
+    SELECT p_partkey AS id, CASE WHEN p_size > 25 THEN upper(p_name) ELSE p_name END AS name, p_brand AS brand,
+           CASE WHEN p_size > 25 THEN p_size END AS size
+    FROM part
+""")
+def graph_nodes_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as nodes, written twice, then those of larger size again with other properties, twice."""
+    path = scratch_path(spark, "nodes")
+    part = table(spark, sf, "part")
+    nodes = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"))
+    changed = part.filter("p_size > 25").select(
+        F.col("p_partkey").alias("id"), F.upper("p_name").alias("name"), F.col("p_size").alias("size")
+    )
+    for rows in (nodes, nodes, changed, changed):
+        merging.merge_nodes(spark, rows, "id", path)
+    return merging.read_merged(spark, path)
+
+
+@query(EDGES + """
+    SELECT src, dst, CASE WHEN src % 2 = 0 THEN 'even' ELSE 'odd' END AS kind FROM edges
+    JOIN part a ON a.p_partkey = src AND a.p_size > 10 JOIN part b ON b.p_partkey = dst AND b.p_size > 10
+""")
+def graph_relationships_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Successions of parts as relationships between stored nodes, written twice, those of even parts
+    with another kind the second time."""
+    nodes, path = scratch_path(spark, "nodes"), scratch_path(spark, "relationships")
+    kept = table(spark, sf, "part").filter("p_size > 10").select(F.col("p_partkey").alias("id"))
+    merging.merge_nodes(spark, kept, "id", nodes)
+    edges = materialize(part_edges(spark, sf), "edges").withColumn("kind", F.lit("odd"))
+    merging.merge_relationships(spark, edges, nodes, path)
+    even = edges.filter("src % 2 = 0").withColumn("kind", F.lit("even"))
+    merging.merge_relationships(spark, even, nodes, path)
+    return merging.read_merged(spark, path)
