@@ -9,19 +9,15 @@ shared folder: plans stay short, and a lost executor costs one round at most.
 from __future__ import annotations
 
 from collections.abc import Callable
+from copy import copy
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.skew import ROWS_PER_SLOT, Slots, split_join
-from millrace.scratch import materialize
-from millrace.session import (
-    ADAPTIVE_ENABLED,
-    SHUFFLE_PARTITIONS,
-    partitions_for,
-    session_settings,
-)
+from millrace.scratch import materialize, written
+from millrace.session import ADAPTIVE_ENABLED, SHUFFLE_PARTITIONS, partitions_for
 
 
 class Graph:
@@ -190,17 +186,32 @@ class _Links:
         nothing to decide, so a round is one job without re-planning between its stages.
         """
         spark = base.sparkSession
-        base = materialize(base, "vertices")
-        state = base.select("*", start)
+        # The rounds have settings of their own, in a session of their own: the caller's other queries
+        # go on with theirs.
+        own = spark.newSession()
+        base = _reopened(own, base, "vertices")
         partitions = partitions_for(spark, max(self.table.count(), base.count()))
+        for name, value in {SHUFFLE_PARTITIONS: str(partitions), ADAPTIVE_ENABLED: "false"}.items():
+            own.conf.set(name, value)
+        state = base.select("*", start)
         base = _kept(base, partitions, "id")
-        self.edges = _kept(self.edges, partitions, *self.keys)
-        with session_settings(spark, {SHUFFLE_PARTITIONS: str(partitions), ADAPTIVE_ENABLED: "false"}):
-            for _ in range(rounds):
-                state = materialize(one_round(base, self, state), "round")
-        self.edges.unpersist()
+        # A copy, so that the links themselves stay in the caller's session.
+        mine = copy(self)
+        mine.edges = _kept(_reopened(own, self.edges, "edges"), partitions, *self.keys)
+        mine.slots = self.slots.in_session(own) if self.slots else self.slots
+        path = None
+        for _ in range(rounds):
+            after = one_round(base, mine, state)
+            path = written(after, "round")
+            state = own.read.schema(after.schema).parquet(path)
+        mine.edges.unpersist()
         base.unpersist()
-        return state
+        return spark.read.schema(state.schema).parquet(path) if path else _reopened(spark, state, "state")
+
+
+def _reopened(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Written by the session it belongs to, read by ``spark``."""
+    return spark.read.schema(df.schema).parquet(written(df, label))
 
 
 def _update(base: DataFrame, received: DataFrame) -> DataFrame:

@@ -8,12 +8,14 @@ partitioned for reuse, as in graph rounds. Those jobs use ``split_join`` or ``Sl
 
 from __future__ import annotations
 
+from copy import copy
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.scratch import materialize
+from millrace.scratch import materialize, written
 
 ROWS_PER_SLOT = 1_000_000
 
@@ -67,6 +69,12 @@ class Slots:
         table = materialize(hot, "hot-keys")
         self.table = None if table.isEmpty() else table
 
+    def in_session(self, spark: SparkSession) -> Slots:
+        """The same hot keys for the jobs of another session."""
+        other = copy(self)
+        other.table = spark.read.schema(self.table.schema).parquet(written(self.table, "hot-keys"))
+        return other
+
     def __bool__(self) -> bool:
         return self.table is not None
 

@@ -31,13 +31,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> str:
+    """Write ``df`` as a table in the shared folder; its path."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts lineage like a checkpoint does, in one pass over the data, and a lost executor costs
     a re-read of files instead of a re-run of everything before.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, label))
