@@ -79,6 +79,8 @@ def blocks_of(docs: DataFrame, longest: int, block_bytes: int) -> DataFrame:
 
     def packed(dictionaries: dict[str, tuple[Counter, Counter]], first: int) -> Iterator[pa.RecordBatch]:
         for block, (lang, (inner, last)) in enumerate(dictionaries.items(), first):
+            if not inner and not last:
+                continue
             lines = b"\n".join([*inner, *last])
             counts = np.array([*inner.values(), *last.values()], "<i8").tobytes()
             sizes = len(lines).to_bytes(8, "little"), len(counts).to_bytes(8, "little")
@@ -100,7 +102,7 @@ def blocks_of(docs: DataFrame, longest: int, block_bytes: int) -> DataFrame:
                 if held >= block_bytes:
                     yield from packed(dictionaries, block)
                     block, held, dictionaries = block + len(dictionaries), 0, {}
-        yield from packed({k: v for k, v in dictionaries.items() if v[0] or v[1]}, block)
+        yield from packed(dictionaries, block)
 
     return materialize(docs.mapInArrow(run, BLOCKS), "chunks")
 
