@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import KEY, keyed, pieces
 from millrace.llm.encoding import encoder
+from millrace.scratch import materialize
 
 READ_BYTES = 4_000_000
 SCHEMA = "doc_id bigint, part int, start_in_part bigint, n_tokens bigint, ids array<int>"
@@ -70,12 +71,14 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int = 1) -
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id``, ``start``, ``n_tokens`` and ``ids`` of every document in the files. Filters on
-    ``doc_id`` and unused columns do not reach the disk."""
+    """``doc_id``, ``start``, ``n_tokens`` and ``ids`` of every document in the files. Filters on ``doc_id`` reach the
+    files, and columns that are not used are not read. Where each file starts is a table of its own, so that its size
+    is known when the join with all documents is planned: they stay where they are if it is small."""
     rows = spark.read.schema(SCHEMA).orc(path)
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     bases = parts.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    bases = materialize(bases, "bases")
     start = (F.col("_base") + F.col("start_in_part")).alias("start")
     return rows.join(bases, "part").select("doc_id", start, "n_tokens", "ids")
 
