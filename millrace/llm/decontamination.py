@@ -24,7 +24,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import KEY, keyed, matched, of_documents, text_of
+from millrace.llm.common import (
+    KEY, PLAIN_KEY, carried, keyed, matched, named_plainly, of_documents, plainly_keyed, returned, text_of,
+)
 from millrace.scratch import materialize
 
 WINDOW = 5
@@ -47,12 +49,13 @@ BETWEEN = r"[^\p{L}\p{N}\ue000-\ue002]+"
 
 
 def _steps(style: str) -> tuple[Column, ...]:
-    """The text, then with numbers, units and names replaced, one after the other."""
+    """The text, then with numbers, units and names replaced, one after the other. Lower case comes after the
+    numbers, which it does not change, so that all styles share the first two steps."""
     plain = F.regexp_replace(text_of(), SPACES, " ")
+    numbered = F.regexp_replace(plain, NUMBERS, f" {NUMBER} ")
     names = STYLES[style]
     if names is None:
-        plain = F.lower(plain)
-    numbered = F.regexp_replace(plain, NUMBERS, f" {NUMBER} ")
+        plain, numbered = F.lower(plain), F.lower(numbered)
     measured = F.when(F.contains(numbered, F.lit(NUMBER)), F.regexp_replace(numbered, UNITS, f"{NUMBER} {UNIT} ")).otherwise(numbered)
     return plain, numbered, measured, F.regexp_replace(measured, names, f" {NAME} ") if names else measured
 
@@ -62,17 +65,24 @@ def template(named: Column) -> Column:
     return F.array_remove(F.split(F.lower(named), BETWEEN, -1), "")
 
 
-def windows(rows: DataFrame, window: int, stride: int = 1, style: str = "inside") -> DataFrame:
-    """Windows of the templates, from every ``stride``-th word on: the columns of KEY, ``at``, two
+def templates(rows: DataFrame) -> DataFrame:
+    """The columns of KEY, ``_style`` and ``_words``, a row per style. All templates are made in one
+    projection, which makes what they share once."""
+    made = rows.select(*KEY, *[template(_steps(style)[-1]).alias(f"_{style}") for style in STYLES])
+    styled = F.array(*[F.struct(F.lit(style).alias("_style"), F.col(f"_{style}").alias("_words")) for style in STYLES])
+    return made.select(*KEY, F.inline(styled))
+
+
+def windows(words: DataFrame, window: int, stride: int = 1) -> DataFrame:
+    """Windows of ``templates``, from every ``stride``-th word on: the columns of KEY, ``_style``, ``at``, two
     hashes of the window's words, and ``_n``, the words of the template."""
-    words = rows.select(*KEY, template(_steps(style)[-1]).alias("_words"))
     # No filter on the size: it would be pushed below and make the template a second time.
     last = F.size("_words") - window
     starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(stride)))
     cut = F.transform(starts, lambda i: F.slice("_words", i + 1, window))
-    each = words.select(*KEY, F.size("_words").alias("_n"), F.posexplode(cut).alias("_i", "_w"))
+    each = words.select(*KEY, "_style", F.size("_words").alias("_n"), F.posexplode(cut).alias("_i", "_w"))
     hashes = [F.xxhash64("_w").alias("_h1"), F.xxhash64(F.lit(1), "_w").alias("_h2")]
-    return each.select(*KEY, (F.col("_i") * stride).alias("at"), *hashes, "_n")
+    return each.select(*KEY, "_style", (F.col("_i") * stride).alias("at"), *hashes, "_n")
 
 
 def stride_for(share: float) -> int:
@@ -95,8 +105,12 @@ def _valued(kind: str, places: Column) -> Column:
     )
 
 
-def slots(rows: DataFrame, style: str = "inside") -> DataFrame:
-    """What each placeholder of the templates stands for: the columns of KEY, ``at`` and ``value``."""
+def slots(rows: DataFrame) -> DataFrame:
+    """What each placeholder of the templates stands for: the columns of KEY, ``_style``, ``at`` and ``value``."""
+    return reduce(DataFrame.unionAll, [_slots(rows, style) for style in STYLES])
+
+
+def _slots(rows: DataFrame, style: str) -> DataFrame:
     plain, numbered, measured, named = _steps(style)
     kinds = {
         NUMBER: F.regexp_extract_all(plain, F.lit(NUMBERS), F.lit(0)),
@@ -109,7 +123,8 @@ def slots(rows: DataFrame, style: str = "inside") -> DataFrame:
         F.transform("_words", lambda word, i: F.when(word == kind, i)), lambda i: i.isNotNull()
     )
     found = [_valued(kind, places(kind)) for kind in kinds]
-    return words.select(*KEY, F.inline(F.concat(*found))).filter(F.col("at").isNotNull())
+    filled = words.select(*KEY, F.inline(F.concat(*found))).filter(F.col("at").isNotNull())
+    return filled.select(*KEY, F.lit(style).alias("_style"), "at", "value")
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
@@ -122,7 +137,15 @@ def leaks(
     """``doc_id``, ``_text_hash``, ``item_id``, ``n_windows`` of the item and ``n_matched`` of them in
     the document, for every document and item it leaks, by the style that matches most."""
     items = items_of(benchmark)
-    found = reduce(DataFrame.unionAll, [_leaks(docs, items, window, share, style) for style in STYLES])
+    words = templates(items)
+    kept = F.size(F.filter("_words", lambda w: ~w.isin(NUMBER, UNIT, NAME)))
+    # Rows of names alone would match any others.
+    words = materialize(words.filter((F.col("_style") != "anywhere") | (2 * kept > F.size("_words"))), "templates")
+    found = _leaks(docs, items, words.filter(F.size("_words") >= window), window, share)
+    short = words.filter((F.size("_words") < window) & (F.size("_words") > 0))
+    for row in short.select(F.size("_words").alias("n")).distinct().orderBy("n").collect():
+        # An item that is shorter than a window is one window of its own length.
+        found = found.unionAll(_leaks(docs, items, words.filter(F.size("_words") == row["n"]), row["n"], share))
     part = F.col("n_matched") / F.col("n_windows")
     best = found.groupBy(*KEY, "item_id", "_item_hash").agg(
         F.max(F.struct(part.alias("_part"), "n_windows", "n_matched")).alias("_best")
@@ -130,56 +153,57 @@ def leaks(
     return best.select(*KEY, "item_id", "_best.n_windows", "_best.n_matched")
 
 
-def _leaks(docs: DataFrame, items: DataFrame, window: int, share: float, style: str) -> DataFrame:
-    """The same in one style, with ``_item_hash``."""
-    if style == "anywhere":
-        # Rows of names alone would match any others.
-        words = template(_steps(style)[-1])
-        kept = F.size(F.filter(words, lambda w: ~w.isin(NUMBER, UNIT, NAME)))
-        items = items.filter(2 * kept > F.size(words))
-    of_item = {"doc_id": "item_id", "_text_hash": "_item_hash", "at": "_item_at"}
-    item_windows = windows(items, window, style=style).withColumnsRenamed(of_item)
-    documents = keyed(docs)
-    # Documents that hold a window of some item at all, then all windows of those.
+def _touched(documents: DataFrame, item_windows: DataFrame, window: int, share: float) -> DataFrame:
+    """The documents, once each and with their texts, that share a window with an item in any style, at every
+    few words. Items of too few windows for the few words to be more than one are looked for at every word.
+
+    The texts go through one shuffle, whatever the size of the tables, and what is left is written."""
     stride = stride_for(share)
     long = F.col("_n") >= window + stride - 1
     steps = [(stride, item_windows.filter(long))]
     if not item_windows.filter(~long).isEmpty():
         steps.append((1, item_windows.filter(~long)))
-    touched = documents.select(*KEY).limit(0)
+    words = templates(documents)
+    hits = []
     for step, some in steps:
-        rows = windows(documents, window, step, style).select(*KEY, "_h1", "_h2")
-        touched = touched.unionAll(
-            rows.join(some.select("_h1", "_h2").distinct(), ["_h1", "_h2"], "left_semi").select(*KEY)
-        )
-    touched = materialize(touched.distinct(), "touched")
-    met = windows(of_documents(documents, touched).distinct(), window, style=style).drop("_n")
-    met = met.join(item_windows.drop("_n"), ["_h1", "_h2"])
+        # Without the second hash: a document too many is compared in full later.
+        looked_for = materialize(some.select("_h1").distinct(), "looked-for")
+        hits.append(windows(words, window, step).select(*KEY, "_h1").join(looked_for, "_h1", "left_semi").select(*KEY))
+    touched = materialize(reduce(DataFrame.unionAll, hits).distinct(), "touched")
+    return materialize(of_documents(documents.hint("merge"), touched).distinct(), "touched-texts")
+
+
+def _leaks(docs: DataFrame, items: DataFrame, words: DataFrame, window: int, share: float) -> DataFrame:
+    """The same for items whose templates are ``words``, with ``_item_hash`` and by style."""
+    of_item = {"doc_id": "item_id", "_text_hash": "_item_hash", "at": "_item_at"}
+    item_windows = materialize(windows(words, window).withColumnsRenamed(of_item), "item-windows")
+    documents = _touched(keyed(docs), item_windows, window, share)
+    met = windows(templates(documents), window).drop("_n")
+    met = met.join(item_windows.drop("_n"), ["_style", "_h1", "_h2"])
     hits = met.select(
-        *KEY, "at", "item_id", "_item_hash", "_item_at", (F.col("at") - F.col("_item_at")).alias("_shift")
+        *KEY, "_style", "at", "item_id", "_item_hash", "_item_at", (F.col("at") - F.col("_item_at")).alias("_shift")
     ).distinct()
     hits = materialize(hits, "hits")
     # Slots inside hits, on both sides. Rows without a partner have no placeholder there.
-    item_slots = slots(items, style).withColumnsRenamed(of_item | {"value": "_item_value"})
+    item_slots = slots(items).withColumnsRenamed(of_item | {"value": "_item_value"})
     steps = F.explode(F.sequence(F.lit(0), F.lit(window - 1)))
-    match = [*KEY, "item_id", "_item_hash", "_shift"]
+    match = [*KEY, "_style", "item_id", "_item_hash", "_shift"]
     inside = hits.select(*match, F.col("_item_at").alias("_window"), steps.alias("_k")).withColumn(
         "_item_at", F.col("_window") + F.col("_k")
     )
-    filled = matched(inside, item_slots, ["item_id", "_item_hash", "_item_at"]).select(
+    filled = matched(inside, item_slots, ["item_id", "_item_hash", "_style", "_item_at"]).select(
         *match, "_window", "_item_value", (F.col("_item_at") + F.col("_shift")).alias("at")
     )
-    filled = materialize(filled, "slots")
-    with_slots = of_documents(documents, filled.select(*KEY).distinct())
-    compared = matched(filled, slots(with_slots.distinct(), style), [*KEY, "at"])
+    compared = matched(filled, slots(documents), [*KEY, "_style", "at"])
+    compared = materialize(compared, "compared")
     values = compared.groupBy(*match, "_item_value").agg((F.min("value") != F.max("value")).alias("_mixed"))
     mixed = matched(compared, values.filter("_mixed"), [*match, "_item_value"], "left_semi")
     bad = mixed.select(*match, F.col("_window").alias("_item_at")).distinct()
     sound = matched(hits, bad, [*match, "_item_at"], "left_anti")
-    found = sound.groupBy(*KEY, "item_id", "_item_hash").agg(F.countDistinct("_item_at").alias("n_matched"))
-    sizes = item_windows.groupBy("item_id", "_item_hash").agg(F.count("*").alias("n_windows"))
+    found = sound.groupBy(*KEY, "_style", "item_id", "_item_hash").agg(F.countDistinct("_item_at").alias("n_matched"))
+    sizes = item_windows.groupBy("_style", "item_id", "_item_hash").agg(F.count("*").alias("n_windows"))
     return (
-        matched(found, sizes, ["item_id", "_item_hash"])
+        matched(found, sizes, ["_style", "item_id", "_item_hash"])
         .filter(F.col("n_matched") >= share * F.col("n_windows"))
         .select(*KEY, "item_id", "_item_hash", "n_windows", "n_matched")
     )
@@ -187,6 +211,6 @@ def _leaks(docs: DataFrame, items: DataFrame, window: int, share: float, style:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
     """The rows of ``docs`` that leak no item, with all their columns."""
-    rows = docs.drop("_text_hash").withColumn("_text_hash", F.xxhash64("text"))
-    leaked = leaks(docs, benchmark, window, share).select(*KEY)
-    return of_documents(rows, leaked, "left_anti").drop("_text_hash")
+    rows = plainly_keyed(carried(docs)).hint("merge")
+    leaked = named_plainly(leaks(docs, benchmark, window, share).select(*KEY).distinct())
+    return returned(rows.join(leaked, PLAIN_KEY, "left_anti"), docs.columns)
