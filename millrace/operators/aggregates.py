@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.operators.numbering import numbered_keys
-from millrace.operators.skew import ROWS_PER_SLOT, split_join
+from millrace.operators.skew import ROWS_PER_SLOT, Slots, common_types, split_join
 from millrace.operators.totals import exact_totals, rounded
 from millrace.scratch import materialize
 
@@ -148,36 +148,47 @@ def collect_items(
     keys and ``part``. Groups of all sizes take the same way.
     """
     rows = df.select(F.struct(*keys).alias("_key"), F.struct(*items).alias("_item"))
-    grouped = _collect_parts(rows, max_items, rows_per_slot, max_hot)
-    part = F.col("_slot")
+    grouped, _ = _collect_parts(rows, max_items, rows_per_slot, max_hot)
+    return _named_parts(grouped, items, name)
+
+
+def _named_parts(grouped: DataFrame, items: list[str], name: str) -> DataFrame:
     array = F.sort_array("_items")
     if len(items) == 1:
         array = F.transform(array, lambda item: item[items[0]])
-    return grouped.select("_key.*", part.alias("part"), array.alias(name))
+    return grouped.select("_key.*", F.col("_slot").alias("part"), array.alias(name))
 
 
-def _collect_parts(rows: DataFrame, max_items: int, rows_per_slot: int, max_hot: int | None) -> DataFrame:
+def _collect_parts(
+    rows: DataFrame, max_items: int, rows_per_slot: int, max_hot: int | None
+) -> tuple[DataFrame, DataFrame | None]:
+    """The parts of each group, and the sizes of the groups of more than one part; None if there are none."""
     # Copies of one item become one row with a number, then pieces of bounded length. Keys and items
     # are structs, so that NULL fields compare as equal.
     runs = materialize(rows.groupBy("_key", "_item").agg(F.count("*").alias("_n")), "runs")
     totals = runs.groupBy("_key").agg(F.sum("_n").alias("_total"))
-    sized = split_join(runs, totals, ["_key"], ["_item"], rows_per_slot=rows_per_slot, max_hot=max_hot)
+    large = materialize(totals.filter(F.col("_total") > max_items), "large-groups")
+    if large.isEmpty():
+        large, sized = None, runs.withColumn("_total", F.lit(1).cast("bigint"))
+    else:
+        sized = split_join(runs, large, ["_key"], ["_item"], "left", rows_per_slot=rows_per_slot, max_hot=max_hot)
     piece = max(1, max_items // PIECES)
     last_piece = F.ceil(F.col("_n") / piece) - 1
     pieces = sized.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)))
     copies = F.least(F.lit(piece), F.col("_n") - F.col("_piece") * piece).cast("int")
-    parts = F.ceil(F.col("_total") / max_items)
+    parts = F.coalesce(F.ceil(F.col("_total") / max_items), F.lit(1))
     slotted = pieces.select(
         "_key",
         F.pmod(F.xxhash64("_item", "_piece"), parts).cast("int").alias("_slot"),
         F.array_repeat("_item", copies).alias("_run"),
     )
     # Grouping by (key, slot) would be content with rows still partitioned by the key alone.
-    return (
+    grouped = (
         slotted.repartition("_key", "_slot")
         .groupBy("_key", "_slot")
         .agg(F.flatten(F.collect_list("_run")).alias("_items"))
     )
+    return grouped, large
 
 
 def nested_documents(
@@ -193,6 +204,14 @@ def nested_documents(
 
     An owner with more than ``max_items`` details gets several documents, told apart by ``part``.
     """
-    arrays = collect_items(details, [key], items, name, max_items, **skew)
-    joined = split_join(owners, arrays, [key], ["part"], "left", "right", rows_per_slot=PARTS_PER_SLOT)
+    rows = details.select(F.struct(key).alias("_key"), F.struct(*items).alias("_item"))
+    grouped, large = _collect_parts(rows, max_items, skew.get("rows_per_slot", ROWS_PER_SLOT), skew.get("max_hot"))
+    arrays = _named_parts(grouped, items, name)
+    types = common_types(owners, arrays, [key], [key])
+    if large is None or types is None:
+        joined = owners.join(arrays, key, "left")
+    else:
+        parts = large.select(f"_key.{key}", F.ceil(F.col("_total") / max_items).alias("_parts"))
+        slots = Slots(parts, [key], PARTS_PER_SLOT, types=types, rows="_parts")
+        joined = split_join(owners, arrays, [key], ["part"], "left", "right", slots=slots)
     return joined.withColumn("part", F.coalesce("part", F.lit(0)))

@@ -20,6 +20,10 @@ from millrace.scratch import materialize, written
 from millrace.session import ADAPTIVE_ENABLED, SHUFFLE_PARTITIONS, partitions_for
 
 
+# Neighbours of a vertex that one row holds.
+BLOCK = 1_024
+
+
 class Graph:
     """Vertices with an ``id`` and edges with ``src`` and ``dst``; other columns ride along."""
 
@@ -90,12 +94,13 @@ class Graph:
         state = links.iterate(self.vertices.select("id"), start, one_round, rounds)
         return self.vertices.join(state, "id")
 
-    def triangle_counts(self) -> DataFrame:
+    def triangle_counts(self, block: int = BLOCK) -> DataFrame:
         """Vertices with the number of triangles through them, direction and copies ignored.
 
         Every edge points from the endpoint of lower degree to the one of higher degree. A vertex
         then has at most sqrt(2 * edges) outgoing edges, hubs included, so its neighbour list is
-        bounded. A triangle is an edge plus a vertex that the lists of both endpoints share.
+        bounded. A triangle is an edge plus a vertex that the lists of both endpoints share. Lists are
+        cut into blocks of ``block`` neighbours, and blocks meet blocks: a row never holds more than two.
         """
         pairs = (
             self.edges.filter(F.col("src") != F.col("dst"))
@@ -116,18 +121,24 @@ class Graph:
             F.least(one, other)["id"].alias("low"), F.greatest(one, other).alias("high")
         )
         lists = oriented.groupBy("low").agg(F.sort_array(F.collect_list("high")).alias("_highs"))
-        lists = materialize(
-            lists.select("low", F.transform("_highs", lambda high: high["id"]).alias("_list")), "lists"
-        )
-        # An edge to the i-th neighbour can only close with a neighbour after the i-th.
-        edges = (
-            lists.filter(F.size("_list") > 1)
-            .select("low", "_list", F.posexplode("_list").alias("_i", "high"))
-            .select("low", "high", F.slice("_list", F.col("_i") + 2, F.size("_list")).alias("_rest"))
+        whole = F.transform("_highs", lambda high: high["id"])
+        last = F.floor((F.size("_highs") - 1) / block).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(whole, k * block + 1, F.lit(block)))
+        blocks = materialize(lists.select("low", F.posexplode(cut).alias("_block", "_part")), "blocks")
+        # An edge to the i-th neighbour can only close with a neighbour after the i-th: one behind it in its
+        # block, or one in a later block, which meets the blocks before it one by one.
+        behind = (
+            blocks.select("low", "_part", F.posexplode("_part").alias("_i", "high"))
+            .select("low", "high", F.slice("_part", F.col("_i") + 2, F.size("_part")).alias("_rest"))
             .filter(F.size("_rest") > 0)
         )
-        targets = lists.select(F.col("low").alias("high"), F.col("_list").alias("_far"))
-        met = split_join(edges, targets, ["high"], ["low"], **self.skew)
+        earlier = F.explode(F.sequence(F.lit(0), F.col("_block") - 1)).alias("_block")
+        later = blocks.filter(F.col("_block") > 0).select("low", earlier, F.col("_part").alias("_rest"))
+        beyond = blocks.join(later, ["low", "_block"]).select("low", F.explode("_part").alias("high"), "_rest")
+        edges = behind.unionAll(beyond)
+        targets = blocks.select(F.col("low").alias("high"), F.col("_part").alias("_far"))
+        hot = Slots(blocks.select(F.explode("_part").alias("high")), ["high"], **self.skew)
+        met = split_join(edges, targets, ["high"], ["low"], slots=hot)
         closed = met.select(
             "low", "high", F.array_intersect("_rest", "_far").alias("_third")
         ).filter(F.size("_third") > 0)

@@ -44,7 +44,8 @@ class Slots:
     Keys are counted exactly, combined before the shuffle, in the type in which they will be compared
     (``types``, their own by default), and stay typed columns: one row per key that Spark holds equal,
     NULL included. There are at most rows / ``rows_per_slot`` of them. They are a table that joins
-    read; whether it is broadcast is left to its size. ``max_hot`` keeps the most frequent ones only.
+    read; whether it is broadcast is left to its size. ``max_hot`` keeps the most frequent ones only. Where the keys
+    have been counted already, ``df`` holds the counts and ``rows`` names their column.
     """
 
     def __init__(
@@ -54,13 +55,16 @@ class Slots:
         rows_per_slot: int = ROWS_PER_SLOT,
         max_hot: int | None = None,
         types: list[T.DataType] | None = None,
+        rows: str | None = None,
     ):
         self.types = types or [df.select(F.col(key).alias("k")).schema["k"].dataType for key in keys]
         self.names = [f"_hot_key{i}" for i in range(len(keys))]
+        counts = F.count("*") if rows is None else F.sum(rows)
+        typed = [key.alias(name) for key, name in zip(self._typed(keys), self.names)]
         hot = (
-            df.select(*[key.alias(name) for key, name in zip(self._typed(keys), self.names)])
+            df.select(*typed, *([] if rows is None else [rows]))
             .groupBy(*self.names)
-            .count()
+            .agg(counts.alias("count"))
             .filter(F.col("count") > rows_per_slot)
             .select(*self.names, F.ceil(F.col("count") / rows_per_slot).cast("int").alias("_slots"))
         )

@@ -43,7 +43,7 @@ def stream_log_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    SELECT server, level, count(*) AS n, CAST(row_number() OVER (ORDER BY server, level) AS INTEGER) AS position
+    SELECT server, level, count(*) AS n, row_number() OVER (ORDER BY server, level) AS position
     FROM (SELECT 'server-node-' || (user_id % 5 + 1) AS server, upper(event_type) AS level FROM events)
     GROUP BY server, level
 """)

@@ -7,10 +7,10 @@ folder, it goes on where it stopped.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.operators.numbering import numbered
 from millrace.session import SHUFFLE_PARTITIONS, session_settings
 
 HOURS = 3600
@@ -102,11 +102,11 @@ def to_versions(
     """Write the complete result of each trigger as a table of its own, a ``version`` below ``path``,
     with the ``position`` of each row by ``order``. A trigger that runs again writes its version again.
 
-    For small results, such as a summary by a few categories: positions are counted in one task.
+    Positions are counted over sorted ranges, so the result may be of any size; each trigger writes all of it.
     """
 
     def write(batch: DataFrame, version: int) -> None:
-        placed = batch.withColumn("position", F.row_number().over(W.orderBy(*order)))
+        placed = numbered(batch, order, "position").withColumn("position", F.col("position") + 1)
         placed.write.mode("overwrite").parquet(f"{path}/version={version}")
 
     writer = df.writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", checkpoint)

@@ -132,3 +132,24 @@ def test_relationships_need_both_nodes(spark, skew):
     nodes = spark.createDataFrame([("a",), ("b",), ("b",)], ["id"])
     edges = spark.createDataFrame([("a", "b", "f"), ("a", "c", "f"), ("c", "b", "f"), ("b", "a", "f"), ("a", "b", "f")], ["src", "dst", "relationship"])
     assert rows(matched_relationships(edges, nodes, **skew)) == [("a", "b", "f"), ("a", "b", "f"), ("b", "a", "f")]
+
+
+@pytest.mark.parametrize("block", [1, 2, 7])
+def test_triangles_in_blocks(spark, block):
+    """Blocks of any size, hubs in many of them, give the same counts."""
+    rng = random.Random(9)
+    names = list(range(40))
+    edges = [(rng.choice(names), rng.choice(names)) for _ in range(260)] + [(0, n) for n in names] + [(n, 1) for n in names]
+    vertices = spark.createDataFrame([(n,) for n in names], ["id"])
+    g = Graph(vertices, spark.createDataFrame(edges, ["src", "dst"]), rows_per_slot=15)
+    assert {r["id"]: r["triangles"] for r in g.triangle_counts(block).collect()} == brute_triangles(names, edges)
+
+
+def test_rounds_leave_the_session_alone(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], ["src", "dst"])
+    g = Graph(spark.createDataFrame([(n,) for n in (1, 2, 3)], ["id"]), edges)
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled"]
+    before = [spark.conf.get(n) for n in names]
+    ranks = g.pagerank(rounds=2)
+    assert ranks.sparkSession is spark and [spark.conf.get(n) for n in names] == before
+    assert all(abs(r["pagerank"] - 1) < 1e-9 for r in ranks.collect())
