@@ -8,7 +8,7 @@ hash of the text that does so, and ``of_documents`` joins by both.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -97,11 +97,21 @@ def words_of(value: Column) -> Column:
     )
 
 
+def bound(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make(value)``, with the value computed once, however often and wherever ``make`` names it: an expression inside
+    a function over array elements is computed anew for every element."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 def sums_before(lengths: Column, step: int = 256) -> Column:
     """For each of an array of integers the sum of those before it.
 
     Sums are made in runs of ``step`` and the runs then put together, because an array that grows one by one is copied
     one by one: a text with 50,000 matches takes 200 steps of each kind, not 50,000."""
+    return bound(lengths, lambda held: _sums_before(held, step))
+
+
+def _sums_before(lengths: Column, step: int) -> Column:
     none = F.array().cast("array<int>")
     start = F.struct(F.lit(0).alias("at"), none.alias("sums"))
 
