@@ -2,8 +2,9 @@
 
 A document is cut in front of white space into leaves of some hundred characters; pre-tokens never
 cross one. A segment tree over the leaves holds characters and ids of each subtree. An edit
-finds its leaves by the characters, re-encodes them with the leaf before them where the edited text
-no longer begins with white space, and updates the sums above. All else keeps its count.
+finds its leaves by the characters; leaves that edits touch side by side, and the leaf before them where the edited text
+no longer begins with white space, are one run, which is encoded once, however many edits it has. Then the sums above
+follow. All else keeps its count. Text without white space, of any length, is one leaf.
 
 Texts that are NULL count as empty: one leaf without ids. Edits are taken in order of ``start`` and
 ``end``; they name code points of the text before any edit. One that begins before the last one ended,
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import SPACE, pieces, text_of
+from millrace.llm.common import SPACE, bound, pieces, sums_before, text_of
 from millrace.llm.encoding import encoder
 
 LEAF = 256
@@ -142,26 +143,37 @@ def edited(text: str | None, tree: Tree, edits: list[dict], encode) -> tuple[str
         if last <= edit["start"] <= edit["end"] <= len(text):
             taken.append(edit)
             last = edit["end"]
-    encoded = 0
-    # From the back, so that the positions of those still to come stay right.
-    for edit in reversed(taken):
-        start, end = edit["start"], edit["end"]
-        new = edit["replacement"] or ""
-        low, first = tree.leaf_at(start)
-        high, begin = tree.leaf_at(max(start, end - 1))
-        stop = begin + int(tree.chars[high + tree.size])
-        region = text[first:start] + new + text[end:stop]
+    # Runs of leaves with their text after the edits: neighbours that edits touch are one run, and so is a leaf
+    # before one that no longer begins with white space. Positions are those before any edit, which the tree knows.
+    bounds = np.concatenate([[0], np.cumsum(tree.chars[tree.size :])])
+    runs: list[tuple[int, int, str]] = []
+    at = 0
+    while at < len(taken):
+        low, first = tree.leaf_at(taken[at]["start"])
+        high, here, parts = low, first, []
+        while at < len(taken) and (not parts or tree.leaf_at(taken[at]["start"])[0] <= high):
+            edit = taken[at]
+            parts += [text[here : edit["start"]], edit["replacement"] or ""]
+            here = edit["end"]
+            high = max(high, tree.leaf_at(max(edit["start"], edit["end"] - 1))[0])
+            at += 1
+        region = "".join([*parts, text[here : int(bounds[high + 1])]])
         while low and not BREAK.match(region):
-            low -= 1
-            before = int(tree.chars[low + tree.size])
-            region = text[first - before : first] + region
-            first -= before
-        text = text[:first] + region + text[stop:]
+            if runs and runs[-1][1] == low - 1:
+                low, _, before = runs.pop()
+                region = before + region
+            else:
+                low -= 1
+                region = text[int(bounds[low]) : int(bounds[low + 1])] + region
+        runs.append((low, high, region))
+    pieces_, here = [], 0
+    for low, high, region in runs:
+        pieces_ += [text[here : int(bounds[low])], region]
+        here = int(bounds[high + 1])
         tree.put(low, len(region), len(encode(region)) // 4)
         for leaf in range(low + 1, high + 1):
             tree.put(leaf, 0, 0)
-        encoded += len(region)
-    return text, encoded
+    return "".join([*pieces_, text[here:]]), sum(len(region) for *_, region in runs)
 
 
 def tree_column(trees: list[Tree]) -> pa.Array:
@@ -185,24 +197,19 @@ def with_columns(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.RecordBa
 def replacements(pattern: str, new: str, text: Column | None = None) -> Column:
     """Edits that put ``new`` in place of every match of a Java regular expression."""
     text = text_of() if text is None else text
-    between = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    blank = "array<struct<start:int,end:int,replacement:string>>"
-    step = F.aggregate(
-        F.arrays_zip(F.slice(between, 1, F.size(found)).alias("gap"), found.alias("hit")),
-        F.struct(F.lit(0).alias("at"), F.array().cast(blank).alias("edits")),
-        lambda done, x: F.struct(
-            (done["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("at"),
-            F.concat(
-                done["edits"],
-                F.array(
-                    F.struct(
-                        (done["at"] + F.length(x["gap"])).alias("start"),
-                        (done["at"] + F.length(x["gap"]) + F.length(x["hit"])).alias("end"),
-                        F.lit(new).alias("replacement"),
-                    )
-                ),
-            ).cast(blank).alias("edits"),
-        ),
+    parts = F.struct(
+        F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")
     )
-    return step["edits"]
+    return bound(parts, lambda held: _edits(held["gaps"], held["found"], new))
+
+
+def _edits(between: Column, found: Column, new: str) -> Column:
+    gaps = F.slice(between, F.lit(1), F.size(found))
+    lengths = F.zip_with(gaps, found, lambda gap, hit: F.length(gap) + F.length(hit))
+    each = F.arrays_zip(gaps.alias("gap"), found.alias("hit"), sums_before(lengths).alias("at"))
+
+    def edit(x: Column) -> Column:
+        start = x["at"] + F.length(x["gap"])
+        return F.struct(start.alias("start"), (start + F.length(x["hit"])).alias("end"), F.lit(new).alias("replacement"))
+
+    return F.transform(each, edit).cast("array<struct<start:int,end:int,replacement:string>>")
