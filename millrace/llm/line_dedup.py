@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import KEY, SPACES, ascii_lower, keyed, of_documents, text_of
+from millrace.llm.common import KEY, SPACES, ascii_lower, carried, keyed, of_documents, returned, text_of
 
 HASHES = ["_h1", "_h2"]
 
@@ -88,12 +88,14 @@ def line_bitmaps(
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with ``text`` made of the kept lines, and ``_bitmap``, their bitmap. Rows that
-    lose no line keep their text as it is, NULL included."""
+    """Rows of ``docs`` with ``text`` made of the kept lines, and ``_bitmap``, their bitmap, in place of a
+    column of that name. Rows that lose no line keep their text as it is, NULL included."""
     packed = bitmaps.select(*KEY, F.struct("n_lines", "n_dropped", "keep").alias("_bitmap"))
-    rows = docs.drop("_text_hash", "_bitmap").withColumn("_text_hash", F.xxhash64("text"))
+    columns = [c for c in docs.columns if c != "_bitmap"]
+    rows = carried(docs).withColumn("_text_hash", F.xxhash64("text"))
     lines = lines_of(text_of())
     kept = F.transform("_bitmap.keep", lambda run: F.slice(lines, run["first"] + 1, run["lines"]))
     left = F.array_join(F.flatten(kept), "\n")
     text = F.when(F.col("_bitmap.n_dropped") == 0, F.col("text")).otherwise(left)
-    return of_documents(rows, packed).withColumn("text", text).drop("_text_hash")
+    kept = of_documents(rows, packed).withColumn("text", text)
+    return returned(kept, columns, "_bitmap")

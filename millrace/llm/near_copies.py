@@ -8,7 +8,8 @@ comparison a member, not one a pair, and of the smallest documents of all classe
 a bucket are near copies.
 
 Texts that are alike but for white space at word bounds and case have equal sets. Texts without words
-are in no bucket. NULL ids come last.
+are in no bucket. NULL ids come last. Rows that repeat are one document; other columns are kept as they are, whatever
+their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,19 +18,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import KEY, pieces
+from millrace.llm.common import KEY, PLAIN_KEY, keyed, pieces, plainly_keyed, rows_of
 from millrace.llm.components import components
 from millrace.llm.simhash import READ_BYTES, shingle_hashes
-from millrace.scratch import materialize
+from millrace.scratch import materialize, scratch_path
 
 SHINGLE = 5
 SHARE = 0.8
 BANDS, ROWS = 24, 4
 STEP = 4_096
+NODE = "struct<none: boolean, id: bigint, hash: bigint>"
 _DRAWN = np.random.default_rng(11).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
 FLIPS, FACTORS = _DRAWN[0], _DRAWN[1] | np.uint64(1)
 
@@ -46,12 +48,13 @@ def bands(hashes: np.ndarray) -> list[int]:
     return np.array(keys, np.uint64).view(np.int64).tolist()
 
 
-def near(a: set[int], b: set[int], share: float) -> bool:
-    both = len(a & b)
-    return both >= share * (len(a) + len(b) - both) - 1e-9
+def _node() -> Column:
+    """A document as one value without NULL, so that nodes compare and join like numbers."""
+    fields = {"none": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0)).cast("bigint"), "hash": F.col("_text_hash")}
+    return F.struct(*[value.alias(name) for name, value in fields.items()]).alias("_node")
 
 
-def _marked(rows: DataFrame) -> DataFrame:
+def _marked(docs: DataFrame) -> DataFrame:
     """``_node``, ``_n`` shingles and ``_bands`` of texts that have any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,27 +65,31 @@ def _marked(rows: DataFrame) -> DataFrame:
                 [batch.column("_node"), pa.array([len(s) for s in sets], pa.int64()), keys], names=["_node", "_n", "_bands"]
             )
 
-    node = rows.schema["_node"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_node {node}, _n bigint, _bands array<bigint>")
+    rows = keyed(docs).select(_node(), "text")
+    return rows.mapInArrow(run, f"_node {NODE}, _n bigint, _bands array<bigint>")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, share: float) -> DataFrame:
-    """The pairs (``_node``, ``_lead``) that are near copies."""
+def _shingles(rows: DataFrame) -> DataFrame:
+    """``_node`` and ``_set``, the sorted hashes of the shingles, of rows with ``_node`` and ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in pieces([whole], READ_BYTES):
-                last, lead, yes = None, set(), []
-                for a, b in zip(batch.column("text").to_pylist(), batch.column("_lead_text").to_pylist()):
-                    if b != last:
-                        last, lead = b, set(shingle_hashes(b, SHINGLE))
-                    yes.append(near(set(shingle_hashes(a, SHINGLE)), lead, share))
-                yield batch.select(["_node", "_lead"]).filter(pa.array(yes, pa.bool_()))
+        for batch in pieces(batches, READ_BYTES):
+            sets = [
+                np.unique(np.array(shingle_hashes(t, SHINGLE), np.uint64)).view(np.int64)
+                for t in batch.column("text").to_pylist()
+            ]
+            yield pa.record_batch([batch.column("_node"), pa.array(sets, pa.list_(pa.int64()))], names=["_node", "_set"])
+
+    return rows.mapInArrow(run, f"_node {NODE}, _set array<bigint>")
+
 
-    leads = rows.select(F.col("_node").alias("_lead"), F.col("text").alias("_lead_text"))
-    texts = pairs.join(leads, "_lead").join(rows, "_node").select("_node", "_lead", "text", "_lead_text")
-    node = rows.schema["_node"].dataType.simpleString()
-    return texts.mapInArrow(run, f"_node {node}, _lead {node}")
+def _verified(pairs: DataFrame, shingles: DataFrame, share: float) -> DataFrame:
+    """The pairs (``_node``, ``_lead``) that are near copies."""
+    leads = shingles.select(F.col("_node").alias("_lead"), F.col("_set").alias("_lead_set"))
+    met = pairs.join(shingles, "_node").join(leads, "_lead")
+    both = F.size(F.array_intersect("_set", "_lead_set"))
+    near = both >= share * (F.size("_set") + F.size("_lead_set") - both) - 1e-9
+    return met.filter(near).select("_node", "_lead")
 
 
 def _shared(buckets: DataFrame) -> DataFrame:
@@ -91,37 +98,48 @@ def _shared(buckets: DataFrame) -> DataFrame:
     return buckets.join(many.select("_bucket"), "_bucket", "left_semi")
 
 
-def near_copies(rows: DataFrame, share: float = SHARE) -> DataFrame:
-    """Verified links, ``a`` and ``b``, over the rows' ``_node`` (each once) and ``text``."""
-    rows = rows.select("_node", "text")
-    marked = materialize(_marked(rows), "bands")
-    buckets = marked.select("_node", "_n", F.explode("_bands").alias("_bucket")).distinct()
-    left = materialize(_shared(buckets), "buckets")
-    links, leaders = None, 1
+def near_copies(docs: DataFrame, among: DataFrame | None = None, share: float = SHARE) -> DataFrame:
+    """Verified links ``a`` and ``b`` over the nodes of the documents in ``among`` (columns of KEY, once each), by default all.
+
+    Bands are made where the texts are; only those of texts that share a bucket are asked for again, once, for
+    their shingles. What the rounds move are nodes and shingle hashes."""
+    marked = _marked(docs)
+    if among is not None:
+        marked = marked.join(among.select(_node()), "_node", "left_semi")
+    marked = materialize(marked.dropDuplicates(["_node"]), "bands")
+    left = materialize(_shared(marked.select("_node", "_n", F.explode("_bands").alias("_bucket"))), "buckets")
+    candidates = materialize(left.select("_node").distinct(), "candidates")
+    names = {"_no_id": "none", "_id": "id", "_text_hash": "hash"}
+    asked = candidates.select(*[F.col(f"_node.{field}").alias(name) for name, field in names.items()])
+    texts = plainly_keyed(docs.select("doc_id", "text")).hint("merge").join(asked, PLAIN_KEY, "left_semi").dropDuplicates(PLAIN_KEY)
+    shingles = materialize(_shingles(texts.select(_node(), "text")), "shingles")
+    found_links, leaders = scratch_path(docs.sparkSession, "near"), 1
     nth = W.partitionBy("_bucket").orderBy("_node")
-    while links is None or not left.isEmpty():
+    while True:
         leads = left.withColumn("_nth", F.row_number().over(nth)).filter(F.col("_nth") <= leaders)
         leads = leads.select("_bucket", F.col("_node").alias("_lead"), F.col("_n").alias("_lead_n"))
         leads = materialize(leads, "leads")
         met = left.join(leads, "_bucket").filter(F.col("_lead") < F.col("_node"))
         met = met.filter(F.least("_n", "_lead_n") >= share * F.greatest("_n", "_lead_n") - 1e-9)
         met = materialize(met.select("_bucket", "_node", "_lead"), "met")
-        found = materialize(_verified(met.select("_node", "_lead").distinct(), rows, share), "near")
-        pairs = found.select(F.col("_node").alias("a"), F.col("_lead").alias("b"))
-        links = pairs if links is None else links.unionAll(pairs)
+        found = materialize(_verified(met.select("_node", "_lead").distinct(), shingles, share), "found")
+        found.select(F.col("_node").alias("a"), F.col("_lead").alias("b")).write.mode("append").parquet(found_links)
         settled = met.join(found, ["_node", "_lead"]).select("_bucket", "_node")
         settled = settled.unionAll(leads.select("_bucket", F.col("_lead").alias("_node"))).distinct()
         left = materialize(_shared(left.join(settled, ["_bucket", "_node"], "left_anti")), "buckets")
+        if left.isEmpty():
+            return docs.sparkSession.read.schema(f"a {NODE}, b {NODE}").parquet(found_links)
         leaders *= 4
-    return links
-
-
-def one_of_near(docs: DataFrame, share: float = SHARE) -> DataFrame:
-    """The row with the smallest id of each class of near copies, with all its columns. Rows must
-    differ in id or text."""
-    hashed = docs.drop("_text_hash").withColumn("_text_hash", F.xxhash64("text"))
-    # Without NULL, so that nodes compare and join like numbers.
-    node = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(KEY[0], F.lit(0)).alias("id"), F.col(KEY[1]).alias("hash"))
-    rows = hashed.withColumn("_node", node)
-    gone = components(near_copies(rows, share)).select(F.col("node").alias("_node"))
-    return rows.join(gone, "_node", "left_anti").drop("_node", "_text_hash")
+
+
+def one_of_near(docs: DataFrame, among: DataFrame | None = None, share: float = SHARE) -> DataFrame:
+    """The row with the smallest id of each class of near copies, with all its columns; any of rows that repeat.
+
+    ``among`` names the documents to choose from (columns of KEY, once each); others are left out. By default
+    all are."""
+    if among is None:
+        among = keyed(docs).select(*KEY).distinct()
+    among = materialize(among, "among")
+    gone = components(near_copies(docs, among, share)).select(F.col("node").alias("_node"))
+    kept = among.withColumn("_node", _node()).join(gone, "_node", "left_anti").select(*KEY)
+    return rows_of(docs, kept)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import KEY, keyed, of_documents, pieces
+from millrace.llm.common import KEY, keyed, pieces, rows_of
 from millrace.llm.components import components
 from millrace.scratch import materialize
 
@@ -147,11 +147,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return marked.join(classes, "fp").select(*KEY, "fp", "component_id", "class_fp")
 
 
-def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One row of each class, with all its columns: that of the smallest id, NULL last, then of the
-    smallest hash of the text; any of rows that repeat in both."""
+def first_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The columns of KEY of one document of each class: that of the smallest id, NULL last, then of the
+    smallest hash of the text."""
     order = F.struct(F.col("doc_id").isNull(), *KEY)
     first = near_duplicates(docs, shingle).groupBy("class_fp").agg(F.min(order).alias("_first"))
-    kept = first.select("_first.doc_id", "_first._text_hash")
-    rows = docs.drop("_text_hash").withColumn("_text_hash", F.xxhash64("text"))
-    return of_documents(rows, kept, "left_semi").dropDuplicates(KEY).drop("_text_hash")
+    return first.select("_first.doc_id", "_first._text_hash")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The row of ``first_of_each`` of each class, with all its columns; any of rows that repeat."""
+    return rows_of(docs, first_of_each(docs, shingle))
