@@ -9,13 +9,17 @@ behind it, is one pre-token of letters that goes straight to the library's BPE m
 from __future__ import annotations
 
 import re
-
-import numpy as np
+import struct
 
 KEPT_WORDS = 400_000
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]?)")
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder(dict):
     """Ids of a word (UTF-8 bytes) as little-endian 32-bit numbers; encodes what it has not met."""
 
@@ -42,17 +46,16 @@ class WordEncoder(dict):
             self.spelling[code] = spell.pre_tokenize_str(bytes([code, 0xA9]).decode())[0][0][0]
 
     def _encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _stem(self, stem: str) -> bytes:
         found = self.stems.get(stem)
         if found is None:
             if len(self.stems) >= self.kept_words:
                 self.stems.clear()
-            spelled = stem.encode().decode("latin-1").translate(self.spelling)
-            ids = [token.id for token in self.tokenizer.model.tokenize(spelled)]
-            found = self.stems[stem] = np.array(ids, "<u4").tobytes()
+            # Letters of ASCII are spelled as themselves.
+            spelled = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.spelling)
+            found = self.stems[stem] = packed([token.id for token in self.tokenizer.model.tokenize(spelled)])
         return found
 
     def __missing__(self, word: bytes) -> bytes:
