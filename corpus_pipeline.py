@@ -9,41 +9,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.common import carried, returned
 from millrace.llm.decontamination import without_leaks
 from millrace.llm.encoding import vocabulary
 from millrace.llm.language import fit, predict
 from millrace.llm.line_dedup import apply_bitmaps, line_bitmaps
 from millrace.llm.near_copies import one_of_near
 from millrace.llm.packing import pack_documents
-from millrace.llm.simhash import one_of_each
+from millrace.llm.simhash import first_of_each
 from millrace.scratch import materialize
 from millrace.tables import table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that centroids of the labelled documents know."""
-    found = predict(docs, fit(docs), "_language")
-    return found.filter(~F.col("_language.rejected")).select(*docs.columns)
+    found = predict(carried(docs), fit(docs), "_language")
+    return returned(found.filter(~F.col("_language.rejected")), docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that stand in ten documents or more, but for the first place of each
     line: of ten copies of a text the first one keeps it. ``n_chars`` follows."""
-    kept = apply_bitmaps(docs, line_bitmaps(docs, min_docs=10, keep_first=True))
+    kept = apply_bitmaps(carried(docs), line_bitmaps(docs, min_docs=10, keep_first=True))
+    kept = returned(kept, docs.columns)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*docs.columns)
+    return kept
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates, by fingerprint, and of those one of each class
     of near copies, by the shingles they share."""
-    return one_of_near(materialize(one_of_each(docs), "distinct")).select(*docs.columns)
+    return one_of_near(docs, materialize(first_of_each(docs), "first"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return without_leaks(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
