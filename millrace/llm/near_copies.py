@@ -3,8 +3,9 @@
 MinHash bands propose, shingle sets decide. A text has ``BANDS`` keys of ``ROWS`` least hashes each; a pair at
 the share shares none of them with a probability of (1 - 0.8 ^ 4) ^ 24 = 3e-6. Members of a bucket are
 compared with its smallest members, by id: one in the first round, four times as many in each further
-one, until all have been a leader or have met one that they are near to. So a large group of near copies costs one
-comparison a member, not one a pair, and of the smallest documents of all classes no two that share
+one, until all have been a leader or have met one that they are near to. So a large group of near copies costs some
+comparisons a member, not one a pair. The buckets of the first ``FIRST`` bands come first; in the others each class that
+is known by then has one member, its smallest there. Of the smallest documents of all classes no two that share
 a bucket are near copies.
 
 Texts that are alike but for white space at word bounds and case have equal sets. Texts without words
@@ -30,6 +31,8 @@ from millrace.scratch import materialize, scratch_path
 SHINGLE = 5
 SHARE = 0.8
 BANDS, ROWS = 24, 4
+# Bands whose buckets are gone through before the others.
+FIRST = 3
 STEP = 4_096
 NODE = "struct<none: boolean, id: bigint, hash: bigint>"
 _DRAWN = np.random.default_rng(11).integers(0, 1 << 64, (2, BANDS * ROWS), np.uint64)
@@ -107,13 +110,28 @@ def near_copies(docs: DataFrame, among: DataFrame | None = None, share: float =
     if among is not None:
         marked = marked.join(among.select(_node()), "_node", "left_semi")
     marked = materialize(marked.dropDuplicates(["_node"]), "bands")
-    left = materialize(_shared(marked.select("_node", "_n", F.explode("_bands").alias("_bucket"))), "buckets")
+    buckets = marked.select("_node", "_n", F.posexplode("_bands").alias("_band", "_bucket"))
+    left = materialize(_shared(buckets), "buckets")
     candidates = materialize(left.select("_node").distinct(), "candidates")
     names = {"_no_id": "none", "_id": "id", "_text_hash": "hash"}
     asked = candidates.select(*[F.col(f"_node.{field}").alias(name) for name, field in names.items()])
     texts = plainly_keyed(docs.select("doc_id", "text")).hint("merge").join(asked, PLAIN_KEY, "left_semi").dropDuplicates(PLAIN_KEY)
     shingles = materialize(_shingles(texts.select(_node(), "text")), "shingles")
-    found_links, leaders = scratch_path(docs.sparkSession, "near"), 1
+    links = scratch_path(docs.sparkSession, "near")
+    known = docs.sparkSession.read.schema(f"a {NODE}, b {NODE}")
+    _link(left.filter(F.col("_band") < FIRST).select("_node", "_n", "_bucket"), shingles, share, links)
+    # Of each class that is known by now a bucket of the other bands needs its smallest member alone.
+    classes = components(known.parquet(links)).select(F.col("node").alias("_node"), "root")
+    rest = left.filter(F.col("_band") >= FIRST).join(classes, "_node", "left")
+    least = F.min(F.struct("_node", "_n")).alias("_least")
+    rest = rest.groupBy("_bucket", F.coalesce("root", "_node").alias("_class")).agg(least)
+    _link(_shared(rest.select("_least._node", "_least._n", "_bucket")), shingles, share, links)
+    return known.parquet(links)
+
+
+def _link(left: DataFrame, shingles: DataFrame, share: float, links: str) -> None:
+    """Add the links between members of the buckets in ``left`` to the table ``links``."""
+    left, leaders = materialize(left, "left"), 1
     nth = W.partitionBy("_bucket").orderBy("_node")
     while True:
         leads = left.withColumn("_nth", F.row_number().over(nth)).filter(F.col("_nth") <= leaders)
@@ -123,12 +141,12 @@ def near_copies(docs: DataFrame, among: DataFrame | None = None, share: float =
         met = met.filter(F.least("_n", "_lead_n") >= share * F.greatest("_n", "_lead_n") - 1e-9)
         met = materialize(met.select("_bucket", "_node", "_lead"), "met")
         found = materialize(_verified(met.select("_node", "_lead").distinct(), shingles, share), "found")
-        found.select(F.col("_node").alias("a"), F.col("_lead").alias("b")).write.mode("append").parquet(found_links)
+        found.select(F.col("_node").alias("a"), F.col("_lead").alias("b")).write.mode("append").parquet(links)
         settled = met.join(found, ["_node", "_lead"]).select("_bucket", "_node")
         settled = settled.unionAll(leads.select("_bucket", F.col("_lead").alias("_node"))).distinct()
-        left = materialize(_shared(left.join(settled, ["_bucket", "_node"], "left_anti")), "buckets")
+        left = materialize(_shared(left.join(settled, ["_bucket", "_node"], "left_anti")), "left")
         if left.isEmpty():
-            return docs.sparkSession.read.schema(f"a {NODE}, b {NODE}").parquet(found_links)
+            return
         leaders *= 4
 
 
