@@ -16,7 +16,7 @@ from millrace.scratch import materialize
 
 USER, ITEM = "_user_number", "_item_number"
 # Items of a block, and users that meet one in a task.
-BLOCK, GROUP = 4_096, 50_000
+BLOCK, GROUP = 512, 50_000
 BEST = "array<struct<minus: double, item: int>>"
 
 
@@ -159,12 +159,14 @@ def _asked(state: DataFrame, bounds: np.ndarray, low: int, high: int, n: int, sl
                 # Room for the rounding of both lengths.
                 may = length * bounds[number] * (1 + 1e-9) >= worst
                 here = np.flatnonzero(may | np.isnan(worst))
-                if len(here):
-                    some = batch.take(pa.array(here))
-                    ids = some.column("id").to_numpy()
-                    columns = [pa.array(np.full(len(ids), number)), pa.array(ids.astype(np.int64) % slots, pa.int32())]
-                    columns += [some.column(c) for c in ("id", "features", "_worst")]
-                    yield pa.record_batch(columns, names=["_block", "_slot", "id", "features", "_worst"])
+                if not len(here):
+                    # Nor in a later block, whose bound is lower.
+                    break
+                some = batch.take(pa.array(here))
+                ids = some.column("id").to_numpy()
+                columns = [pa.array(np.full(len(ids), number)), pa.array(ids.astype(np.int64) % slots, pa.int32())]
+                columns += [some.column(c) for c in ("id", "features", "_worst")]
+                yield pa.record_batch(columns, names=["_block", "_slot", "id", "features", "_worst"])
 
     return rows.mapInArrow(run, "_block bigint, _slot int, id int, features array<float>, _worst double")
 
