@@ -2,11 +2,10 @@
 
 Base spans are the leftmost non-overlapping matches of four patterns that pass their kind's check.
 Generators with wider patterns propose further spans, which may overlap, and spans of a fifth kind, ``secret``: keys and
-tokens. Gradient boosted trees score them by format and context. They learn, from at most about ``SAMPLE``
-proposals, what evidence says of them: base spans, and proposals behind a word that names their kind that pass its check (sum of
+tokens. Gradient boosted trees score them by format and context. They learn, from ``TRAINING`` of all
+documents' proposals, what evidence says of them: base spans, and proposals behind a word that names their kind that pass its check (sum of
 digits, range of numbers, length), are personal data. All else counts as none: what fails the check, what cuts
-a base span, and what no word speaks for. A threshold per kind is set on proposals that overlap no base span and that the trees have not
-seen, as the least score from which ``PRECISION`` of them are personal data; a kind that never
+a base span, and what no word speaks for. A threshold per kind is set on all other proposals, as far as they overlap no base span, as the least score from which ``PRECISION`` of them are personal data; a kind that never
 reaches it adds nothing. Added spans overlap no base span.
 
 Positions are code points, end exclusive. NULL and empty texts have no spans. Rows with equal id and
@@ -22,10 +21,10 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm.common import KEY, bound, keyed, matched, of_documents, sums_before, text_of
+from millrace.operators.numbering import running_totals
 from millrace.scratch import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -50,7 +49,8 @@ PROPOSALS = {
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 CONTEXT = 24
 STRETCH = 64
-SAMPLE = 20_000
+# The share of proposals, drawn by hash, that the trees learn from; thresholds are set on the others.
+TRAINING = 0.6
 PRECISION = 0.9
 TREES, DEPTH = 10, 3
 # Words that name a kind in front of a span (fixed values).
@@ -195,36 +195,44 @@ def compared(found: DataFrame) -> DataFrame:
 def scored(found: DataFrame) -> DataFrame | None:
     """Proposals that overlap no base span, with the score and the threshold of their kind; None where
     there is nothing to learn from."""
-    rows = materialize(compared(found), "proposals")
+    rows = compared(found)
     rows = rows.withColumn("label", label(F.col("span"), F.col("_near"), F.col("_same")))
     names = list(features("span"))
-    rows = VectorAssembler(inputCols=names, outputCol="features").transform(
-        rows.withColumns(features("span"))
-    ).drop(*names)
-    counts = dict(rows.groupBy("label").count().collect())
-    if len(counts) < 2:
-        return None
+    names = list(features("span"))
     place = F.pmod(F.xxhash64(*KEY, "span.start", "span.end"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(place < min(1.0, SAMPLE / sum(counts.values())))
-    sample = materialize(sample.withColumn("_part", place * 1e6 % 1), "sample")
-    training = sample.filter("_part < 0.6")
+    rows = materialize(rows.withColumns(features("span")).withColumn("_training", place < TRAINING), "features")
+    # Proposals that look alike are one row with a weight.
+    training = rows.filter("_training").groupBy("label", *names).agg(F.count("*").cast("double").alias("weight"))
+    training = materialize(training, "training")
     if training.select("label").distinct().count() < 2:
         return None
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3).fit(training)
+    vectors = VectorAssembler(inputCols=names, outputCol="features")
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3, weightCol="weight")
+    model = trees.fit(vectors.transform(training))
     score = vector_to_array("probability")[1]
-    # Precision at or above each score, by kind, over open proposals that the trees have not seen.
-    down = W.partitionBy("span.kind").orderBy(F.desc("_score")).rangeBetween(W.unboundedPreceding, 0)
-    ranked = model.transform(sample.filter("_part >= 0.6 AND NOT _near")).withColumn("_score", score)
-    thresholds = (
-        ranked.withColumn("_precise", F.avg("label").over(down))
-        .filter(F.col("_precise") >= PRECISION)
-        .groupBy(F.col("span.kind").alias("kind"))
-        .agg(F.min("_score"))
-        .collect()  # a row per kind
+    ranked = model.transform(vectors.transform(rows.filter("NOT _near"))).select(*KEY, "span", "label", "_training", score.alias("score"))
+    ranked = materialize(ranked, "scores")
+    bound = reduce(
+        lambda c, r: c.when(F.col("span.kind") == r[0], r[1]), thresholds(ranked.filter("NOT _training")), F.when(F.lit(False), 2.0)
+    )
+    return ranked.select(*KEY, "span", "score", bound.otherwise(2.0).alias("threshold"))
+
+
+def thresholds(ranked: DataFrame) -> list:
+    """``kind`` and the least score from which ``PRECISION`` of its proposals are personal data, for kinds that reach it.
+
+    Equal scores of a kind are one row; these are counted over ranges, the kinds one behind the other."""
+    counts = ranked.groupBy(F.col("span.kind").alias("kind"), "score").agg(
+        F.count("*").alias("_n"), F.sum(F.col("label").cast("bigint")).alias("_right")
+    )
+    totals = running_totals(materialize(counts, "counts"), ["kind", F.desc("score")], {"_n": "_all", "_right": "_all_right"})
+    totals = materialize(totals, "totals")
+    before = totals.groupBy("kind").agg(
+        F.min(F.col("_all") - F.col("_n")).alias("_n_before"), F.min(F.col("_all_right") - F.col("_right")).alias("_right_before")
     )
-    bound = reduce(lambda c, r: c.when(F.col("span.kind") == r[0], r[1]), thresholds, F.when(F.lit(False), 2.0))
-    open_rows = model.transform(rows.filter(~F.col("_near")))
-    return open_rows.select(*KEY, "span", score.alias("score"), bound.otherwise(2.0).alias("threshold"))
+    precise = (F.col("_all_right") - F.col("_right_before")) / (F.col("_all") - F.col("_n_before"))
+    found = totals.join(before, "kind").filter(precise >= PRECISION).groupBy("kind").agg(F.min("score"))
+    return found.collect()  # a row per kind
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
