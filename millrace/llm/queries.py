@@ -22,7 +22,7 @@ from millrace.llm.simhash import near_duplicates
 from millrace.llm.substring_dedup import remove_repeats
 from millrace.llm.token_counts import apply_edits, replacements, with_trees
 from millrace.llm.token_files import checksums, read_tokens, write_tokens
-from millrace.scratch import scratch_path
+from millrace.scratch import materialize, scratch_path
 from millrace.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +141,8 @@ def op10_token_counts(spark, sf_dir):
     """Token counts of all documents, before and after every run of five or more digits and every
     word with an at sign is replaced by a short word."""
     docs = with_trees(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
+    # Written, so that a task has one Python process with its vocabulary at a time.
+    docs = materialize(docs, "trees")
     edits = replacements("[0-9]{5,}|(?<![^ \\n])[^ \\n@]++@[^ \\n@]++(?![^ \\n])", "redacted")
     before = docs.withColumns({"edits": edits, "n_before": F.col("n_tokens"), "n_chars": F.length("text")})
     after = apply_edits(before, vocabulary())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import common, decontamination, encoding, pii, token_counts
+from millrace.llm.queries import QUERIES
 from millrace.tables import table
 
 SF = "/root/testdata/sf0.001"
@@ -164,3 +165,9 @@ def test_thresholds_of_kinds(spark):
                 expected[kind] = least
                 break
     assert len(expected) == 3 and dict(map(tuple, pii.thresholds(ranked.repartition(7)))) == expected
+
+
+def test_token_counts_have_one_python_process_a_task(spark):
+    found = QUERIES["op10_token_counts"](spark, SF)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 1
+    assert found.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
