@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import KEY, SPACES, ascii_lower, carried, keyed, of_documents, returned, text_of
+from millrace.llm.common import KEY, SPACES, ascii_lower, bound, carried, keyed, of_documents, returned, text_of
 
 HASHES = ["_h1", "_h2"]
 
@@ -93,9 +93,13 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     packed = bitmaps.select(*KEY, F.struct("n_lines", "n_dropped", "keep").alias("_bitmap"))
     columns = [c for c in docs.columns if c != "_bitmap"]
     rows = carried(docs).withColumn("_text_hash", F.xxhash64("text"))
-    lines = lines_of(text_of())
-    kept = F.transform("_bitmap.keep", lambda run: F.slice(lines, run["first"] + 1, run["lines"]))
-    left = F.array_join(F.flatten(kept), "\n")
+
+    def of_runs(lines: Column) -> Column:
+        kept = F.transform("_bitmap.keep", lambda run: F.slice(lines, run["first"] + 1, run["lines"]))
+        return F.array_join(F.flatten(kept), "\n")
+
+    # The text is split once, not once a run.
+    left = bound(lines_of(text_of()), of_runs)
     text = F.when(F.col("_bitmap.n_dropped") == 0, F.col("text")).otherwise(left)
     kept = of_documents(rows, packed).withColumn("text", text)
     return returned(kept, columns, "_bitmap")

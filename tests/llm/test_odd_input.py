@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import common, decontamination, encoding, pii, token_counts
+from millrace.llm import common, decontamination, encoding, line_dedup, pii, token_counts
 from millrace.llm.queries import QUERIES
 from millrace.tables import table
 
@@ -167,6 +167,17 @@ def test_thresholds_of_kinds(spark):
     assert len(expected) == 3 and dict(map(tuple, pii.thresholds(ranked.repartition(7)))) == expected
 
 
+def test_a_text_of_very_many_kept_runs_is_split_once(spark):
+    n = 30_000
+    text = "\n".join(f"line {i}" for i in range(n))
+    keep = F.transform(F.sequence(F.lit(0), F.lit(n - 2), F.lit(2)), lambda i: F.struct(i.alias("first"), F.lit(1).alias("lines")))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    bitmaps = docs.select("doc_id", F.xxhash64("text").alias("_text_hash"), F.lit(n).alias("n_lines"), F.lit(n // 2).alias("n_dropped"), keep.alias("keep"))
+    began = time.monotonic()
+    kept = line_dedup.apply_bitmaps(docs, bitmaps).first().text
+    assert kept == "\n".join(f"line {i}" for i in range(0, n, 2)) and time.monotonic() - began < 8
+
+
 def test_token_counts_have_one_python_process_a_task(spark):
     found = QUERIES["op10_token_counts"](spark, SF)
     assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 1
