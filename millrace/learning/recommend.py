@@ -15,8 +15,8 @@ from millrace.operators.numbering import numbered, numbered_keys
 from millrace.scratch import materialize
 
 USER, ITEM = "_user_number", "_item_number"
-# Items of a block, and users that meet one in a task.
-BLOCK, GROUP = 512, 50_000
+# Items of a block, and users that meet one in a task; items of a block that one bound holds for.
+BLOCK, GROUP, CELL = 1 << 18, 1 << 15, 64
 BEST = "array<struct<minus: double, item: int>>"
 
 
@@ -57,9 +57,16 @@ class Recommender:
     item: str
 
     def predict(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of a known user and item with their ``prediction``; others are left out, as in the model."""
-        numbers = pairs.join(self.users, self.user).join(self.items, self.item)
-        return self.model.transform(numbers).select(*pairs.columns, "prediction")
+        """Pairs of a known user and item with their ``prediction``; others are left out, as in the model. Factors get
+        their keys first, so that pairs meet two tables and not four; products are added up as the model does."""
+        known = lambda factors, numbers, number, key, name: factors.join(
+            numbers.withColumnRenamed(number, "id"), "id"
+        ).select(key, F.col("features").alias(name))
+        met = pairs.join(known(self.model.userFactors, self.users, USER, self.user, "_user_factors"), self.user)
+        met = met.join(known(self.model.itemFactors, self.items, ITEM, self.item, "_item_factors"), self.item)
+        products = F.zip_with("_user_factors", "_item_factors", lambda a, b: a * b)
+        total = F.aggregate(products, F.lit(0.0).cast("float"), lambda s, x: s + x)
+        return met.select(*pairs.columns, total.alias("prediction"))
 
     def recommend(self, n: int) -> DataFrame:
         """Best n items of every user, one row each: user, item, ``rating`` and ``place`` from 1."""
@@ -103,38 +110,38 @@ def top_items(
     ``users`` and ``items`` have ``id`` and ``features``. Items are laid out in blocks by falling length of their
     factors. No product is greater than the lengths of both sides allow, so a user whose n-th best is above
     what the next block allows is done. Rounds take one block, then as many as all before; a user
-    meets only blocks that may still change the result. Equal products go to the smaller item. Rows: ``id``,
-    ``item``, ``rating``, ``place`` from 1. A block and ``group`` users at a time meet in one task.
+    meets only blocks that may still change the result, and travels once for each. Inside a block items lie in cells of
+    neighbours of like length, and only cells whose box and length allow a product among the n best are multiplied. Equal products go to the smaller item. Rows: ``id``,
+    ``item``, ``rating``, ``place`` from 1. A block and about ``group`` users at a time meet in one task; a block travels as
+    often as its users need.
     """
     lengths = items.select("id", "features", _norm("features").alias("_norm"))
     placed = numbered(lengths, [F.desc("_norm"), "id"], "_at").withColumn("_block", F.floor(F.col("_at") / block))
-    blocks = placed.groupBy("_block").agg(
-        F.max("_norm").alias("_norm"),
-        F.count("*").alias("_size"),
-        F.array_sort(F.collect_list(F.struct(F.col("id").alias("item"), "features"))).alias("_items"),
-    )
-    blocks = materialize(blocks, "item-blocks")
+    # An item is a row of its block; a block is put together where its users are.
+    blocks = materialize(placed.select("_block", F.col("id").alias("item"), "features", "_norm"), "item-blocks")
     # One number a block.
-    held = blocks.select("_norm", "_size").orderBy("_block").collect()
+    held = blocks.groupBy("_block").agg(F.max("_norm").alias("_norm")).orderBy("_block").collect()
     bounds = np.array([r["_norm"] for r in held])
-    sizes = np.array([r["_size"] for r in held], np.int64)
     state = users.select("id", "features", _norm("features").alias("_length"), F.lit(None).cast(BEST).alias("best"))
     state = materialize(state, "users")
-    slots = max(1, -(-state.count() // group))
     low, high, scored = 0, min(1, len(held)), 0
     while low < high:
-        asked = materialize(_asked(state, bounds, low, high, n, slots), "asked")
-        counts = asked.groupBy("_block").count().collect()
+        asked = _asked(state, bounds, low, high, n)
+        counts = {r["_block"]: r["count"] for r in asked.groupBy("_block").count().collect()}
         if not counts:
             break
-        scored += sum(int(r["count"]) * int(sizes[r["_block"]]) for r in counts)
-        some = blocks.filter((F.col("_block") >= low) & (F.col("_block") < high)).select(
-            "_block", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("_slot"), "_items"
-        )
+        slots = F.create_map(*[F.lit(int(x)) for block, count in counts.items() for x in (block, max(1, -(-count // group)))])
+        some = blocks.filter(F.col("_block").isin(*counts)).drop("_norm").withColumn("_slot", F.explode(F.sequence(F.lit(0), slots[F.col("_block")] - 1)))
+        asked = asked.withColumn("_slot", F.pmod(F.xxhash64("id"), slots[F.col("_block")]).cast("int"))
         keys = ["_block", "_slot"]
-        found = asked.groupBy(*keys).cogroup(some.groupBy(*keys)).applyInArrow(_scored(n), "id int, score double, item int")
+        met = asked.groupBy(*keys).cogroup(some.groupBy(*keys))
+        found = materialize(met.applyInArrow(_scored(n), "id int, score double, item int, taken bigint"), "found")
+        scored += found.agg(F.sum("taken")).first()[0] or 0
+        found = found.filter("item IS NOT NULL").select("id", "score", "item")
         mine = state.select("id", F.inline("best")).select("id", (-F.col("minus")).alias("score"), "item")
-        pairs = found.unionAll(mine).groupBy("id").agg(
+        if low:
+            found = found.unionAll(mine.join(found.select("id").distinct(), "id", "left_semi"))
+        pairs = found.groupBy("id").agg(
             F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "item"))), 1, n).alias("_best")
         )
         state = state.join(pairs, "id", "left").select("id", "features", "_length", F.coalesce("_best", "best").alias("best"))
@@ -146,7 +153,7 @@ def top_items(
     return best, scored
 
 
-def _asked(state: DataFrame, bounds: np.ndarray, low: int, high: int, n: int, slots: int) -> DataFrame:
+def _asked(state: DataFrame, bounds: np.ndarray, low: int, high: int, n: int) -> DataFrame:
     """A row per user and block from ``low`` to ``high`` that may hold one of the user's n best."""
     worst = F.when(F.size("best") >= n, -F.element_at("best", -1)["minus"])
     rows = state.select("id", "features", "_length", worst.alias("_worst"))
@@ -164,42 +171,118 @@ def _asked(state: DataFrame, bounds: np.ndarray, low: int, high: int, n: int, sl
                     break
                 some = batch.take(pa.array(here))
                 ids = some.column("id").to_numpy()
-                columns = [pa.array(np.full(len(ids), number)), pa.array(ids.astype(np.int64) % slots, pa.int32())]
-                columns += [some.column(c) for c in ("id", "features", "_worst")]
-                yield pa.record_batch(columns, names=["_block", "_slot", "id", "features", "_worst"])
+                columns = [pa.array(np.full(len(ids), number)), *[some.column(c) for c in ("id", "features", "_worst")]]
+                yield pa.record_batch(columns, names=["_block", "id", "features", "_worst"])
+
+    return rows.mapInArrow(run, "_block bigint, id int, features array<float>, _worst double")
+
+
+def _cells(factors: np.ndarray, size: int = CELL) -> list[np.ndarray]:
+    """The rows of ``factors`` in cells of neighbours: cut in the middle of the widest side until a cell has ``size`` rows or fewer."""
+    cells, open_ = [], [np.arange(len(factors))]
+    while open_:
+        rows = open_.pop()
+        if len(rows) <= size:
+            cells.append(np.sort(rows))
+            continue
+        here = factors[rows]
+        side = here[:, np.argmax(np.ptp(here, axis=0))]
+        order = np.argpartition(side, len(rows) // 2)
+        open_ += [rows[order[: len(rows) // 2]], rows[order[len(rows) // 2 :]]]
+    return cells
+
 
-    return rows.mapInArrow(run, "_block bigint, _slot int, id int, features array<float>, _worst double")
+def _shells(factors: np.ndarray, first: int = 2048) -> list[np.ndarray]:
+    """Cells of rows of like length: the longest ``first`` rows, then as many as all before, each cut into cells."""
+    order = np.argsort(-np.linalg.norm(factors, axis=1), kind="stable")
+    cells, at = [], 0
+    while at < len(order):
+        rows = order[at : at + max(first, at)]
+        cells += [rows[cell] for cell in _cells(factors[rows])]
+        at += len(rows)
+    return cells
 
 
-def _scored(n: int):
+def _best_of(users: np.ndarray, worst: np.ndarray, factors: np.ndarray, items: np.ndarray, cells: list, bounds: tuple, n: int):
+    """Of some users: row, score and item of the products that are among the n best and not below ``worst``, and how many
+    products were taken. ``cells`` are rows of ``factors``, ``bounds`` the ends of their boxes and their greatest lengths."""
+    low, high, length = bounds
+    # No product of a user with a cell is greater than that with the best corner of its box, but for rounding.
+    most = np.maximum(users, 0) @ high.T + np.minimum(users, 0) @ low.T
+    most += 1e-12 * (np.abs(users) @ np.maximum(np.abs(low), np.abs(high)).T)
+    np.minimum(most, (1 + 1e-9) * np.linalg.norm(users, axis=1)[:, None] * length, out=most)
+    least, taken = worst.copy(), 0
+    done = np.zeros(most.shape, bool)
+    who, what, scores = [], [], []
+
+    def take(asked: np.ndarray) -> None:
+        nonlocal taken
+        for cell in np.flatnonzero(asked.any(axis=0)):
+            rows, columns = np.flatnonzero(asked[:, cell]), cells[cell]
+            products = users[rows] @ factors[columns].T
+            taken += products.size
+            here = products >= least[rows, None]
+            if kept := max(0, products.shape[1] - n):
+                here &= products >= np.partition(products, kept, axis=1)[:, kept, None]
+            row, column = np.nonzero(here)
+            who.append(rows[row])
+            what.append(columns[column])
+            scores.append(products[row, column])
+
+    def keep() -> None:
+        row, column, score = np.concatenate(who), np.concatenate(what), np.concatenate(scores)
+        order = np.lexsort((items[column], -score, row))
+        row, column, score = row[order], column[order], score[order]
+        nth = np.arange(len(row)) - np.searchsorted(row, row)
+        last = nth == n - 1
+        least[row[last]] = np.maximum(least[row[last]], score[last])
+        who[:], what[:], scores[:] = [row[nth < n]], [column[nth < n]], [score[nth < n]]
+
+    # The cells with the best bounds of each user first: they leave few others.
+    few = -(-n // CELL) + 1
+    for some in (few, 8 * few, len(cells)):
+        asked = (most >= least[:, None]) & ~done
+        if some < len(cells):
+            best = np.zeros(most.shape, bool)
+            np.put_along_axis(best, np.argpartition(most, len(cells) - some, axis=1)[:, len(cells) - some :], True, axis=1)
+            asked &= best
+        done |= asked
+        take(asked)
+        if who:
+            keep()
+    if not who:
+        return np.zeros(0, int), np.zeros(0), np.zeros(0, np.int32), taken
+    return who[0], scores[0], items[what[0]], taken
+
+
+def _scored(n: int, step: int = 1024):
     """For users and a block of items: the products that are among the n best of the block and not below
-    the user's worst."""
+    the user's worst, and a row without an item that says how many products were taken."""
 
     def run(users: pa.Table, block: pa.Table) -> pa.Table:
-        matrix = lambda lists, rows: lists.combine_chunks().flatten().to_numpy().reshape(rows, -1).astype(float)
-        out = [np.zeros(0, np.int32)], [np.zeros(0)], [np.zeros(0, np.int32)]
+        matrix = lambda table: (
+            table.column("features").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1).astype(float)
+        )
+        out, total = ([np.zeros(0, np.int32)], [np.zeros(0)], [np.zeros(0, np.int32)]), 0
         if users.num_rows and block.num_rows:
-            held = block.column("_items").combine_chunks().flatten()
-            items = held.field("item").to_numpy()
-            factors = np.array(held.field("features").to_pylist(), float)
-            ids = users.column("id").to_numpy()
+            items, factors = block.column("item").to_numpy(), matrix(block)
+            cells = _shells(factors)
+            low, high = (np.array([f(factors[rows], axis=0) for rows in cells]) for f in (np.min, np.max))
+            lengths = np.linalg.norm(factors, axis=1)
+            bounds = low, high, np.array([lengths[rows].max() for rows in cells])
+            ids, x = users.column("id").to_numpy(), matrix(users)
             worst = np.nan_to_num(users.column("_worst").to_numpy().astype(float), nan=-np.inf)
-            x = matrix(users.column("features"), users.num_rows)
-            for at in range(0, len(x), 1024):
-                scores = x[at : at + 1024] @ factors.T
-                kept = min(n, scores.shape[1])
-                least = np.partition(scores, scores.shape[1] - kept, axis=1)[:, scores.shape[1] - kept]
-                least = np.maximum(least, worst[at : at + 1024])
-                who, what = np.nonzero(scores >= least[:, None])
-                # Of equal products the first items, which are in ascending order.
-                order = np.lexsort((what, -scores[who, what], who))
-                who, what = who[order], what[order]
-                nth = np.arange(len(who)) - np.searchsorted(who, who)
-                who, what = who[nth < n], what[nth < n]
-                for column, values in zip(out, (ids[at + who], scores[who, what], items[what])):
+            # Users of like direction ask for the same cells.
+            for some in _cells(x, step):
+                who, score, item, taken = _best_of(x[some], worst[some], factors, items, cells, bounds, n)
+                total += taken
+                for column, values in zip(out, (ids[some][who], score, item)):
                     column.append(values)
         found = [np.concatenate(c) for c in out]
-        kinds = [pa.int32(), pa.float64(), pa.int32()]
-        return pa.table([pa.array(c, k) for c, k in zip(found, kinds)], names=["id", "score", "item"])
+        columns = [pa.array(c, k) for c, k in zip(found, (pa.int32(), pa.float64(), pa.int32()))]
+        names = ["id", "score", "item", "taken"]
+        rows = pa.table([*columns, pa.nulls(len(found[0]), pa.int64())], names=names)
+        count = pa.table([pa.nulls(1, c.type) for c in columns] + [pa.array([total], pa.int64())], names=names)
+        return pa.concat_tables([rows, count])
 
     return run

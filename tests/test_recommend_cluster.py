@@ -69,6 +69,29 @@ def test_text_and_long_keys(spark):
         assert math.isclose(rating, theirs[numbers[who]][place - 1], abs_tol=1e-4)
 
 
+def test_predictions_are_those_of_the_model(spark):
+    rng = random.Random(3)
+    pairs = [(f"user {u}", (1 << 40) + i, float(1 + (u * i) % 5)) for u in range(30) for i in range(20) if rng.random() < 0.6]
+    fitted = recommend.fit_ratings(spark.createDataFrame(pairs, "who string, what long, stars double"), "who", "what", "stars")
+    numbers = spark.createDataFrame(pairs, "who string, what long, stars double").join(fitted.users, "who").join(fitted.items, "what")
+    expected = {(r.who, r.what): r.prediction for r in fitted.model.transform(numbers).collect()}
+    assert {(r.who, r.what): r.prediction for r in fitted.predict(numbers.select("who", "what")).collect()} == expected
+
+
+def test_users_travel_once_a_block_and_most_products_are_not_taken(spark):
+    rng = np.random.default_rng(5)
+    lengths = rng.uniform(0.8, 1.2, 6000)
+    make = lambda n: (lambda x: x / np.linalg.norm(x, axis=1)[:, None])(rng.normal(0, 1, (n, 5)))
+    x, y = make(300).astype(np.float32), (make(6000) * lengths[:, None]).astype(np.float32)
+    frame = lambda m: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], FACTORS)
+    best, scored = recommend.top_items(frame(x), frame(y), 5)
+    products = x.astype(float) @ y.astype(float).T
+    got = {(r.id, r.place): r.item for r in best.collect()}
+    assert all(got[u, k + 1] == i for u in range(300) for k, i in enumerate(np.argsort(-products[u], kind="stable")[:5]))
+    asked = recommend._asked(frame(x).selectExpr("*", "1.0D AS _length", f"CAST(NULL AS {recommend.BEST}) AS best"), np.array([1.2]), 0, 1, 5)
+    assert asked.count() == 300 and scored < 0.5 * products.size
+
+
 @pytest.fixture(scope="module")
 def blobs(spark):
     rng = random.Random(6)
