@@ -441,3 +441,25 @@ def test_decontamination_names_at_any_place_and_case(spark):
     items = spark.createDataFrame([(1, item), (2, ITEM)], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, items).collect()}
     assert got == {(0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 1), (7, 1)}
+
+
+def test_near_copies_write_no_row_for_pairs_that_are_not_near(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(400)]
+    changed = lambda d, step: " ".join(f"x{d}-{i}" if i % step == d % step else w for i, w in enumerate(base))
+    # A group in which all share buckets and none are near, and one in which all are near to the first.
+    texts = {d: changed(d, 40) for d in range(160)} | {1000 + d: " ".join([*base[:200], *(f"y{rng.random()}" for _ in range(d % 9))]) for d in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    counts, write = [], near_copies.materialize
+    monkeypatch.setattr(near_copies, "materialize", lambda df, label: (counts.append((label, (out := write(df, label)).count())), out)[1])
+    kept = {r.doc_id for r in near_copies.one_of_near(docs).collect()}
+    sets = {d: set(zip(*[t.split()[i:] for i in range(near_copies.SHINGLE)])) for d, t in texts.items()}
+    jaccard = lambda a, b: len(a & b) / len(a | b)
+    near = [(a, b) for a in texts for b in texts if a < b and jaccard(sets[a], sets[b]) >= near_copies.SHARE]
+    roots = {d: d for d in texts}
+    for _ in range(5):
+        for a, b in near:
+            roots[a] = roots[b] = min(roots[a], roots[b])
+    assert kept == set(roots.values()) and len(kept) == 161
+    shared = dict(counts)["candidates"] * near_copies.BANDS
+    assert all(n <= shared / 4 for label, n in counts if label in ("met", "found")), counts
