@@ -41,8 +41,9 @@ UNIT_WORDS = (
 ).split()
 UNITS = rf"{NUMBER} *({'|'.join(UNIT_WORDS)})(?![\p{{L}}\p{{N}}])"
 SPACES = r"[\s\p{Z}]+"
-NAMES = r" (?<=[\p{Ll}0-9,;\ue000\ue001] )(\p{Lu}[\p{Ll}'’-]+(?: \p{Lu}[\p{Ll}'’-]+)*)"
-ANYWHERE = r"(?<![\p{L}\p{N}])(\p{Lu}(?=['’]?\p{L}?\p{Ll})[\p{L}'’-]+(?: \p{Lu}(?=['’]?\p{L}?\p{Ll})[\p{L}'’-]+)*)"
+# Both look for the capital first, which most places lack.
+NAMES = r" (?=\p{Lu})(?<=[\p{Ll}0-9,;\ue000\ue001] )(\p{Lu}[\p{Ll}'’-]+(?: \p{Lu}[\p{Ll}'’-]+)*)"
+ANYWHERE = r"(?=\p{Lu})(?<![\p{L}\p{N}])(\p{Lu}(?=['’]?\p{L}?\p{Ll})[\p{L}'’-]+(?: \p{Lu}(?=['’]?\p{L}?\p{Ll})[\p{L}'’-]+)*)"
 # What is a name, by style.
 STYLES = {"inside": NAMES, "anywhere": ANYWHERE, "none": None}
 BETWEEN = r"[^\p{L}\p{N}\ue000-\ue002]+"
@@ -50,19 +51,19 @@ BETWEEN = r"[^\p{L}\p{N}\ue000-\ue002]+"
 
 def _steps(style: str) -> tuple[Column, ...]:
     """The text, then with numbers, units and names replaced, one after the other. Lower case comes after the
-    numbers, which it does not change, so that all styles share the first two steps."""
+    numbers, which it does not change, so that all styles share these two steps, and last where it matters to names."""
     plain = F.regexp_replace(text_of(), SPACES, " ")
     numbered = F.regexp_replace(plain, NUMBERS, f" {NUMBER} ")
     names = STYLES[style]
     if names is None:
-        plain, numbered = F.lower(plain), F.lower(numbered)
+        numbered = F.lower(numbered)
     measured = F.when(F.contains(numbered, F.lit(NUMBER)), F.regexp_replace(numbered, UNITS, f"{NUMBER} {UNIT} ")).otherwise(numbered)
-    return plain, numbered, measured, F.regexp_replace(measured, names, f" {NAME} ") if names else measured
+    return plain, numbered, measured, F.lower(F.regexp_replace(measured, names, f" {NAME} ")) if names else measured
 
 
 def template(named: Column) -> Column:
-    """The words of a text with placeholders."""
-    return F.array_remove(F.split(F.lower(named), BETWEEN, -1), "")
+    """The words of a text with placeholders, in lower case."""
+    return F.array_remove(F.split(named, BETWEEN, -1), "")
 
 
 def templates(rows: DataFrame) -> DataFrame:
@@ -75,14 +76,17 @@ def templates(rows: DataFrame) -> DataFrame:
 
 def windows(words: DataFrame, window: int, stride: int = 1) -> DataFrame:
     """Windows of ``templates``, from every ``stride``-th word on: the columns of KEY, ``_style``, ``at``, two
-    hashes of the window's words, and ``_n``, the words of the template."""
+    hashes of the window's words, and ``_n``, the words of the template.
+
+    Rows are made of the places alone and words are cut and hashed on the way, in generated code: windows
+    as arrays would each be written down first."""
     # No filter on the size: it would be pushed below and make the template a second time.
     last = F.size("_words") - window
     starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(stride)))
-    cut = F.transform(starts, lambda i: F.slice("_words", i + 1, window))
-    each = words.select(*KEY, "_style", F.size("_words").alias("_n"), F.posexplode(cut).alias("_i", "_w"))
-    hashes = [F.xxhash64("_w").alias("_h1"), F.xxhash64(F.lit(1), "_w").alias("_h2")]
-    return each.select(*KEY, "_style", (F.col("_i") * stride).alias("at"), *hashes, "_n")
+    each = words.select(*KEY, "_style", "_words", F.explode(starts).alias("at"))
+    cut = F.slice("_words", F.col("at") + 1, window)
+    hashes = [F.xxhash64(cut).alias("_h1"), F.xxhash64(F.lit(1), cut).alias("_h2")]
+    return each.select(*KEY, "_style", "at", *hashes, F.size("_words").alias("_n"))
 
 
 def stride_for(share: float) -> int:

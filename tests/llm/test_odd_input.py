@@ -82,6 +82,25 @@ def test_short_items_are_found(spark):
     assert got == {(1, 1, 1, 1), (3, 2, 1, 1), (5, 4, 2, 2)}
 
 
+def test_windows_are_hashed_without_arrays_of_words(spark):
+    texts = ["One two, three Four five 6 km seven. Eight", " ".join(f"w{i}" for i in range(30_000)), "too short", "", None]
+    docs = common.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    words = decontamination.templates(docs)
+    got = decontamination.windows(words, 5, 4)
+    # A window as an array in a function over places would be written down before it is hashed.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "Generate explode" in plan
+    of = {(r.doc_id, r._style): r._words for r in words.collect()}
+    cut = [
+        (d, style, at, tuple(held[at : at + 5]), len(held)) for (d, style), held in of.items() for at in range(0, len(held) - 4, 4)
+    ]
+    hashed = spark.createDataFrame(cut, "doc_id long, _style string, at int, w array<string>, _n int").selectExpr(
+        "doc_id", "_style", "at", "xxhash64(w) AS h1", "xxhash64(1, w) AS h2", "_n"
+    )
+    rows = got.select("doc_id", "_style", "at", "_h1", "_h2", "_n").collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, hashed.collect())) and len(rows) > 22_000
+
+
 def test_repeated_rows_and_missing_ids_leak_alike(spark):
     text = "how many apples does a farmer sell in one week of summer"
     items = spark.createDataFrame([(1, text), (1, text)], "item_id long, text string")
