@@ -2,21 +2,30 @@
 
 The vocabulary at hand pre-tokenizes at white space, so the ids of a text are those of its words in
 turn, and a word needs encoding once. ``WordEncoder`` keeps the words it has met, a bounded number of
-them; the library encodes the others. A word of Latin letters alone, with or without one mark
-behind it, is one pre-token of letters that goes straight to the library's BPE model.
+them; the library encodes the others. A word of Latin letters and the signs of ASCII falls into pre-tokens by
+the vocabulary's own pattern, and each, kept like words are, goes straight to the library's BPE model.
 """
 
 from __future__ import annotations
 
 import re
 import struct
+import sys
+from array import array
 
 KEPT_WORDS = 400_000
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]?)")
+# Words that the library's normalizer only lower-cases, "<|" (special tokens) aside, and the pattern of
+# the vocabulary's pre-tokenizer among their characters.
+PLAIN = re.compile(r"(?:(?!<\|)[!-~À-ÖØ-öø-ÿ])+")
+PRE_TOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# Four bytes on every machine, in the machine's order.
+UNSIGNED = next(code for code in "IL" if array(code).itemsize == 4)
 
 
 def packed(ids: list[int]) -> bytes:
     """Ids as little-endian 32-bit numbers."""
+    if sys.byteorder == "little":
+        return array(UNSIGNED, ids).tobytes()
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
@@ -30,7 +39,6 @@ class WordEncoder(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.kept_words = kept_words
-        self.stems: dict[str, bytes] = {}
         # The library's own spelling of the 256 bytes as characters.
         spell = ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelling = {
@@ -48,26 +56,22 @@ class WordEncoder(dict):
     def _encode(self, text: str) -> bytes:
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _stem(self, stem: str) -> bytes:
-        found = self.stems.get(stem)
-        if found is None:
-            if len(self.stems) >= self.kept_words:
-                self.stems.clear()
-            # Letters of ASCII are spelled as themselves.
-            spelled = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.spelling)
-            found = self.stems[stem] = packed([token.id for token in self.tokenizer.model.tokenize(spelled)])
-        return found
+    def _pre_token(self, text: str) -> bytes:
+        # Characters of ASCII, white space aside, are spelled as themselves.
+        spelled = text if text.isascii() else text.encode().decode("latin-1").translate(self.spelling)
+        return packed([token.id for token in self.tokenizer.model.tokenize(spelled)])
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.kept_words:
+        # Words, and as many pre-tokens that are no words.
+        if len(self) >= 2 * self.kept_words:
             self.clear()
         text = word.decode()
-        plain = PLAIN.fullmatch(text)
-        if plain:
-            ids = self._stem(plain[1].lower())
-            if plain[2]:
-                mark = plain[2].encode()
-                ids += self[mark] if mark != word else b""
+        if PLAIN.fullmatch(text):
+            parts = PRE_TOKENS.findall(text.lower())
+            if parts[0] == text:
+                ids = self._pre_token(text)
+            else:
+                ids = b"".join([self[part.encode()] for part in parts])
         else:
             ids = self._encode(text)
         self[word] = ids

@@ -1,6 +1,7 @@
 """Stages and operators on clashing names, empty tables, repeated rows, and texts with very many matches."""
 
 import random
+import struct
 import time
 
 import pytest
@@ -82,6 +83,22 @@ def test_short_items_are_found(spark):
     assert got == {(1, 1, 1, 1), (3, 2, 1, 1), (5, 4, 2, 2)}
 
 
+def test_words_of_letters_and_signs_need_no_pass_through_the_library():
+    words = encoding.WordEncoder(encoding.vocabulary(), 300)
+    lean = "word Word WORD!! erorre,%%% 27.109.211.155 don't DON'T 'sa -'s ''s x'S. Éaué$$$ straße. <|x a<b|c> { } ~0".replace("<|x ", "").split()
+    whole = "<|endoftext|> a<|endoftext|>b <|ENDOFTEXT|> <| Ωmega naïvé 東京 « µ İx".split()
+    passed = []
+    plain = words._encode
+    words._encode = lambda text: passed.append(text) or plain(text)
+    rng = random.Random(3)
+    drawn = ["".join(rng.choice("aZé'sTreVEl<>|,.-09ß×µ") for _ in range(rng.randint(1, 7))) for _ in range(3000)]
+    for word in [*lean, *whole, *drawn]:
+        ids = words.tokenizer.encode(word, add_special_tokens=False).ids
+        assert words.encode(word) == struct.pack(f"<{len(ids)}I", *ids), word
+        assert len(words) <= 2 * words.kept_words + 20
+    assert not set(lean) & set(passed) and set(whole) <= set(passed)
+
+
 def test_windows_are_hashed_without_arrays_of_words(spark):
     texts = ["One two, three Four five 6 km seven. Eight", " ".join(f"w{i}" for i in range(30_000)), "too short", "", None]
     docs = common.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
