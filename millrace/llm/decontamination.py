@@ -33,7 +33,9 @@ WINDOW = 5
 SHARE = 0.8
 # Placeholders: characters for private use, each a word of its own.
 NUMBER, UNIT, NAME = "\ue000", "\ue001", "\ue002"
-NUMBERS = r"[0-9]+(?:[.,:/][0-9]+)*"
+# A repeated group gives nothing back (``*+``; nothing follows it): Java goes down the stack for each part of a run
+# otherwise, and a thousand capitalized words in a row end the executor.
+NUMBERS = r"[0-9]+(?:[.,:/][0-9]+)*+"
 # Unit words and signs (fixed values).
 UNIT_WORDS = (
     "km m cm mm mi miles? met(?:er|re)s? feet ft inch(?:es)? kg g mg lbs? oz pounds? tons? l ml lit(?:er|re)s? "
@@ -42,8 +44,8 @@ UNIT_WORDS = (
 UNITS = rf"{NUMBER} *({'|'.join(UNIT_WORDS)})(?![\p{{L}}\p{{N}}])"
 SPACES = r"[\s\p{Z}]+"
 # Both look for the capital first, which most places lack.
-NAMES = r" (?=\p{Lu})(?<=[\p{Ll}0-9,;\ue000\ue001] )(\p{Lu}[\p{Ll}'’-]+(?: \p{Lu}[\p{Ll}'’-]+)*)"
-ANYWHERE = r"(?=\p{Lu})(?<![\p{L}\p{N}])(\p{Lu}(?=['’]?\p{L}?\p{Ll})[\p{L}'’-]+(?: \p{Lu}(?=['’]?\p{L}?\p{Ll})[\p{L}'’-]+)*)"
+NAMES = r" (?=\p{Lu})(?<=[\p{Ll}0-9,;\ue000\ue001] )(\p{Lu}[\p{Ll}'’-]+(?: \p{Lu}[\p{Ll}'’-]+)*+)"
+ANYWHERE = r"(?=\p{Lu})(?<![\p{L}\p{N}])(\p{Lu}(?=['’]?\p{L}?\p{Ll})[\p{L}'’-]+(?: \p{Lu}(?=['’]?\p{L}?\p{Ll})[\p{L}'’-]+)*+)"
 # What is a name, by style.
 STYLES = {"inside": NAMES, "anywhere": ANYWHERE, "none": None}
 BETWEEN = r"[^\p{L}\p{N}\ue000-\ue002]+"

@@ -118,6 +118,24 @@ def test_windows_are_hashed_without_arrays_of_words(spark):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, hashed.collect())) and len(rows) > 22_000
 
 
+def test_names_and_numbers_of_very_many_parts(spark):
+    item = "a farmer keeps twelve black goats behind the old stone mill and sells one every spring"
+    names, numbers = "so " + "Big Title " * 20_000, "12.5:" * 40_000 + "7"
+    texts = [f"{names}. {item}", f"{numbers} {item}", names, numbers, names.replace("Title", "O'Hara-Lee"), None]
+    docs = common.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).persist()
+    # A run of any length is one placeholder and one value, found without a step down the stack for each part.
+    words = {(r.doc_id, r._style): r._words for r in decontamination.templates(docs).collect()}
+    for style in ("inside", "anywhere"):
+        assert words[2, style] == ["so", decontamination.NAME] and words[0, style] == words[2, style] + item.split()
+        assert words[3, style] == [decontamination.NUMBER] and words[1, style] == words[3, style] + item.split()
+    assert words[2, "none"] == names.lower().split() and words[4, "anywhere"] == ["so", decontamination.NAME]
+    held = {(r.doc_id, r._style, r.at): r.value for r in decontamination.slots(docs.filter("doc_id < 4")).collect()}
+    assert held[0, "inside", 1] == held[2, "anywhere", 1] == decontamination.NAME + names[3:].strip()
+    assert held[1, "none", 0] == held[3, "inside", 0] == decontamination.NUMBER + numbers and len(held) == 10
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, items).collect()} == {(0, 1), (1, 1)}
+
+
 def test_repeated_rows_and_missing_ids_leak_alike(spark):
     text = "how many apples does a farmer sell in one week of summer"
     items = spark.createDataFrame([(1, text), (1, text)], "item_id long, text string")
