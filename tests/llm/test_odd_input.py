@@ -136,6 +136,15 @@ def test_names_and_numbers_of_very_many_parts(spark):
     assert {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, items).collect()} == {(0, 1), (1, 1)}
 
 
+def test_stage_decontamination_of_very_long_runs(spark):
+    item = max((r.text for r in table(spark, SF, "benchmark").filter("text IS NOT NULL").collect()), key=len)
+    names, numbers = "so " + "Big Title " * 20_000, "12.5:" * 40_000 + "7"
+    texts = [f"{names}. {item}", f"{numbers} . {item}", names, numbers]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.decontamination(spark, docs, SF)
+    assert sorted(map(tuple, kept.collect())) == [(2, names), (3, numbers)]
+
+
 def test_repeated_rows_and_missing_ids_leak_alike(spark):
     text = "how many apples does a farmer sell in one week of summer"
     items = spark.createDataFrame([(1, text), (1, text)], "item_id long, text string")
