@@ -18,6 +18,9 @@ USER, ITEM = "_user_number", "_item_number"
 # Items of a block, and users that meet one in a task; items of a block that one bound holds for.
 BLOCK, GROUP, CELL = 1 << 18, 1 << 15, 64
 BEST = "array<struct<minus: double, item: int>>"
+# Ratings of a block of the factorization, whose tasks hold some 45 bytes for each while blocks are built; blocks at least;
+# rounds after which shuffle files of the factors are dropped.
+RATINGS, LEAST_BLOCKS, ROUNDS = 15_000_000, 10, 4
 
 
 def fit_als(
@@ -29,9 +32,16 @@ def fit_als(
     max_iter: int = 10,
     reg: float = 0.1,
     seed: int = 42,
+    copies: bool = True,
+    per_block: int = RATINGS,
 ) -> ALSModel:
-    """ALS on one rating per user and item; copies are averaged first, before the shuffle."""
-    single = ratings.groupBy(user, item).agg(F.avg(rating).cast("float").alias(rating))
+    """ALS on one rating per user and item; copies are averaged first, before the shuffle. ``copies`` is False where the
+    caller's ratings are a written table without any. They are counted, since a task holds a block of users or items with all their
+    ratings: there are as many blocks as keep it at ``per_block`` or so. More would send factors to more places than needed."""
+    single = ratings
+    if copies:
+        single = materialize(ratings.groupBy(user, item).agg(F.avg(rating).cast("float").alias(rating)), "single-ratings")
+    blocks = max(LEAST_BLOCKS, -(-single.count() // per_block))
     als = ALS(
         userCol=user,
         itemCol=item,
@@ -41,6 +51,11 @@ def fit_als(
         regParam=reg,
         seed=seed,
         coldStartStrategy="drop",
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
+        checkpointInterval=ROUNDS,
+        # Blocks that are kept between rounds leave the heap to those being built.
+        intermediateStorageLevel="DISK_ONLY" if blocks > LEAST_BLOCKS else "MEMORY_AND_DISK",
     )
     return als.fit(single)
 
@@ -86,6 +101,8 @@ def fit_ratings(ratings: DataFrame, user: str, item: str, rating: str, **als) ->
     as_int = lambda numbers, name: numbers.withColumn(name, F.col(name).cast("int"))
     users, items = as_int(users, USER), as_int(items, ITEM)
     plain = ratings.join(users, user).join(items, item).select(USER, ITEM, rating)
+    if not als.get("copies", True):
+        plain = materialize(plain, "numbered-ratings")
     return Recommender(fit_als(plain, USER, ITEM, rating, **als), users, items, user, item)
 
 

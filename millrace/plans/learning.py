@@ -347,7 +347,7 @@ def _ratings(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def als_fit_predict(spark: SparkSession, sf: str) -> DataFrame:
     train, test = features.hash_split(_ratings(spark, sf), ["user_id", "item_id"], SPLIT, SEED)
-    model = recommend.fit_als(train, "user_id", "item_id", "rating")
+    model = recommend.fit_als(train, "user_id", "item_id", "rating", copies=False)
     return model.transform(test)
 
 
@@ -359,7 +359,7 @@ def als_rmse(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def als_recommend_titles(spark: SparkSession, sf: str) -> DataFrame:
-    model = recommend.fit_als(_ratings(spark, sf), "user_id", "item_id", "rating")
+    model = recommend.fit_als(_ratings(spark, sf), "user_id", "item_id", "rating", copies=False)
     titles = table(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
     return recommend.recommend_titles(model, titles, "user_id", "item_id", "title")
 
@@ -371,7 +371,7 @@ def als_recommend_titles(spark: SparkSession, sf: str) -> DataFrame:
 def als_facts(spark: SparkSession, sf: str) -> DataFrame:
     """Every user gets five different items, and the fit is nearer to its ratings than their mean is."""
     ratings = _ratings(spark, sf)
-    model = recommend.fit_als(ratings, "user_id", "item_id", "rating")
+    model = recommend.fit_als(ratings, "user_id", "item_id", "rating", copies=False)
     best, _ = recommend.top_items(model.userFactors, model.itemFactors, 5)
     users = best.groupBy("id").agg(F.count("*").alias("n"), F.countDistinct("item").alias("_distinct"))
     error = F.col("prediction") - F.col("rating")
@@ -396,7 +396,7 @@ def als_key_facts(spark: SparkSession, sf: str) -> DataFrame:
     predicted, every user gets five known items, best first."""
     key, wide = F.concat(F.lit("customer "), F.col("user_id")), F.col("item_id").cast("bigint") + (1 << 40)
     ratings = _ratings(spark, sf).select(key.alias("who"), wide.alias("what"), "rating")
-    fitted = recommend.fit_ratings(ratings, "who", "what", "rating")
+    fitted = recommend.fit_ratings(ratings, "who", "what", "rating", copies=False)
     best = materialize(fitted.recommend(5), "best")
     titles = table(spark, sf, "part").select((F.col("p_partkey") + (1 << 40)).alias("what"), F.col("p_name").alias("title"))
     after = F.lag("rating").over(W.partitionBy("who").orderBy("place"))

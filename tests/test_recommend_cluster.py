@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from millrace.learning import cluster, metrics, recommend
+from millrace.scratch import materialize
 
 FACTORS = "id int, features array<float>"
 
@@ -78,6 +79,23 @@ def test_predictions_are_those_of_the_model(spark):
     assert {(r.who, r.what): r.prediction for r in fitted.predict(numbers.select("who", "what")).collect()} == expected
 
 
+def test_blocks_of_the_factorization_grow_with_the_ratings(spark):
+    rng = random.Random(4)
+    rows = [(7 * u, 3 * i, float(1 + (u * i) % 5)) for u in range(90) for i in range(40) if rng.random() < 0.5]
+    ratings = materialize(spark.createDataFrame(rows, "u int, i int, r float"), "ratings")
+    few = recommend.fit_als(ratings, "u", "i", "r", copies=False)
+    many = recommend.fit_als(ratings, "u", "i", "r", copies=False, per_block=len(rows) // 15)
+    assert few.userFactors.rdd.getNumPartitions() == few.itemFactors.rdd.getNumPartitions() == recommend.LEAST_BLOCKS
+    assert many.userFactors.rdd.getNumPartitions() == many.itemFactors.rdd.getNumPartitions() == 16
+    # All users and items have factors, and the fit is as near.
+    off = [metrics.rmse(m.transform(ratings), "r", "prediction").first()[0] for m in (few, many)]
+    assert many.userFactors.count() == 90 and many.itemFactors.count() == 40 and abs(off[0] - off[1]) < 0.1
+    # Copies are averaged, so that they change nothing.
+    twice = recommend.fit_als(ratings.unionAll(ratings), "u", "i", "r")
+    mine, theirs = ({(x.u, x.i): x.prediction for x in m.transform(ratings).collect()} for m in (few, twice))
+    assert all(math.isclose(mine[k], theirs[k], abs_tol=1e-3) for k in mine) and len(mine) == len(theirs) == len(rows)
+
+
 def test_users_travel_once_a_block_and_most_products_are_not_taken(spark):
     rng = np.random.default_rng(5)
     lengths = rng.uniform(0.8, 1.2, 6000)
