@@ -18,9 +18,9 @@ USER, ITEM = "_user_number", "_item_number"
 # Items of a block, and users that meet one in a task; items of a block that one bound holds for.
 BLOCK, GROUP, CELL = 1 << 18, 1 << 15, 64
 BEST = "array<struct<minus: double, item: int>>"
-# Ratings of a block of the factorization, whose tasks hold some 45 bytes for each while blocks are built; blocks at least;
+# Ratings of a block of the factorization, whose tasks hold some 45 bytes for each while blocks are built (arrays double beyond 2^24); blocks at least;
 # rounds after which shuffle files of the factors are dropped.
-RATINGS, LEAST_BLOCKS, ROUNDS = 15_000_000, 10, 4
+RATINGS, LEAST_BLOCKS, ROUNDS = 16_000_000, 10, 4
 
 
 def fit_als(

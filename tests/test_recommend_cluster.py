@@ -10,7 +10,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from millrace.learning import cluster, metrics, recommend
+from millrace.plans import learning
 from millrace.scratch import materialize
+from millrace.session import session_settings
 
 FACTORS = "id int, features array<float>"
 
@@ -96,6 +98,20 @@ def test_blocks_of_the_factorization_grow_with_the_ratings(spark):
     assert all(math.isclose(mine[k], theirs[k], abs_tol=1e-3) for k in mine) and len(mine) == len(theirs) == len(rows)
 
 
+def test_ratings_of_a_user_lie_together(spark):
+    with session_settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        ratings = learning._ratings(spark, "/root/testdata/sf0.001")
+        placed = ratings.withColumn("file", F.input_file_name())
+        files = placed.groupBy("user_id").agg(F.countDistinct("file").alias("n"))
+        assert files.agg(F.max("n")).first()[0] == 1 and placed.select("file").distinct().count() > 1
+    # One row a pair, and in order inside a file.
+    assert ratings.count() == ratings.select("user_id", "item_id").distinct().count()
+    by_file = {}
+    for row in placed.collect():
+        by_file.setdefault(row.file, []).append((row.user_id, row.item_id))
+    assert all(keys == sorted(keys) for keys in by_file.values())
+
+
 def test_users_travel_once_a_block_and_most_products_are_not_taken(spark):
     rng = np.random.default_rng(5)
     lengths = rng.uniform(0.8, 1.2, 6000)
