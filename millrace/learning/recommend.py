@@ -77,8 +77,9 @@ class Recommender:
         known = lambda factors, numbers, number, key, name: factors.join(
             numbers.withColumnRenamed(number, "id"), "id"
         ).select(key, F.col("features").alias(name))
-        met = pairs.join(known(self.model.userFactors, self.users, USER, self.user, "_user_factors"), self.user)
-        met = met.join(known(self.model.itemFactors, self.items, ITEM, self.item, "_item_factors"), self.item)
+        # Users last: what is counted by user afterwards finds the pairs of a user in one place.
+        met = pairs.join(known(self.model.itemFactors, self.items, ITEM, self.item, "_item_factors"), self.item)
+        met = met.join(known(self.model.userFactors, self.users, USER, self.user, "_user_factors"), self.user)
         products = F.zip_with("_user_factors", "_item_factors", lambda a, b: a * b)
         total = F.aggregate(products, F.lit(0.0).cast("float"), lambda s, x: s + x)
         return met.select(*pairs.columns, total.alias("prediction"))

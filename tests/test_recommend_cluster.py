@@ -112,6 +112,18 @@ def test_ratings_of_a_user_lie_together(spark):
     assert all(keys == sorted(keys) for keys in by_file.values())
 
 
+def test_predictions_lie_by_user(spark):
+    pairs = [(f"user {u}", (1 << 40) + i, float(1 + (u * i) % 5)) for u in range(12) for i in range(8)]
+    ratings = spark.createDataFrame(pairs, "who string, what long, stars double")
+    fitted = recommend.fit_ratings(ratings, "who", "what", "stars", copies=False, max_iter=1)
+    with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        counted = fitted.predict(ratings).groupBy("who").agg(F.count("prediction").alias("n"))
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        # One exchange of the pairs and one of the users' factors; none for the groups.
+        assert plan.count("Exchange hashpartitioning(who") == 2
+        assert {r.n for r in counted.collect()} == {8}
+
+
 def test_users_travel_once_a_block_and_most_products_are_not_taken(spark):
     rng = np.random.default_rng(5)
     lengths = rng.uniform(0.8, 1.2, 6000)
